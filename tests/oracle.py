@@ -75,8 +75,8 @@ def compare(df, con, sql) -> str:
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     if mine == theirs:
         return "" if mine else "both empty"
-    only_mine = [r for r in mine if r not in set(theirs)][:3]
-    only_theirs = [r for r in theirs if r not in set(mine)][:3]
+    only_mine = sorted(set(mine) - set(theirs), key=repr)[:3]
+    only_theirs = sorted(set(theirs) - set(mine), key=repr)[:3]
     return f"rows {len(mine)} vs {len(theirs)}; {sorted(names)}; spark {only_mine}; sql {only_theirs}"
 
 
