@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # GRS80 and the plane zones (public EPSG parameters, EPSG = 6668 + zone).
 SEMI_MAJOR = 6378137.0
 FLATTENING = 1 / 298.257222101
@@ -67,12 +69,13 @@ DELTA = (
 )
 
 
-def _conformal(m, lat, dlon):
-    """Angles (radians) -> unscaled plane coordinates (xi, eta)."""
+def _isometric(m, lat):
     s = m.sin(lat)
-    t = m.sinh(m.atanh(s) - _E * m.atanh(_E * s))
-    xi1 = m.atan2(t, m.cos(dlon))
-    eta1 = m.atanh(m.sin(dlon) / m.sqrt(1 + t * t))
+    return m.sinh(m.atanh(s) - _E * m.atanh(_E * s))
+
+
+def _stretched(m, xi1, eta1):
+    """Coordinates on the conformal sphere -> scaled plane coordinates."""
     xi, eta = xi1, eta1
     for j, a in enumerate(ALPHA, start=1):
         xi = xi + a * m.sin(2 * j * xi1) * m.cosh(2 * j * eta1)
@@ -80,6 +83,12 @@ def _conformal(m, lat, dlon):
     return xi, eta
 
 
+def _conformal(m, lat, dlon):
+    """Angles (radians) -> scaled plane coordinates (xi, eta)."""
+    t = _isometric(m, lat)
+    return _stretched(m, m.atan2(t, m.cos(dlon)), m.atanh(m.sin(dlon) / m.sqrt(1 + t * t)))
+
+
 def _meridian_offset(lat0: float) -> float:
     return RADIUS * _conformal(math, math.radians(lat0), 0.0)[0]
 
@@ -94,45 +103,130 @@ def _forward(m, lon, lat, lon0, offset):
     return RADIUS * eta, RADIUS * xi - offset
 
 
-def _inverse(m, x, y, lon0, offset):
-    xi, eta = (y + offset) / RADIUS, x / RADIUS
+def _unstretched(m, xi, eta):
+    """Scaled plane coordinates -> those of the conformal sphere."""
     xi1, eta1 = xi, eta
     for j, b in enumerate(BETA, start=1):
         xi1 = xi1 - b * m.sin(2 * j * xi) * m.cosh(2 * j * eta)
         eta1 = eta1 - b * m.cos(2 * j * xi) * m.sinh(2 * j * eta)
-    chi = m.asin(m.sin(xi1) / m.cosh(eta1))
+    return xi1, eta1
+
+
+def _latitude(m, chi):
     lat = chi
     for j, d in enumerate(DELTA, start=1):
         lat = lat + d * m.sin(2 * j * chi)
-    return lon0 + m.degrees(m.atan2(m.sinh(eta1), m.cos(xi1))), m.degrees(lat)
+    return m.degrees(lat)
 
 
-def _lookup(epsg: Column, position: int) -> Column:
-    pairs = [F.lit(v) for code, p in ZONE_PARAMETERS.items() for v in (code, p[position])]
-    return F.try_element_at(F.create_map(*pairs), epsg.cast("int"))
+def _inverse(m, x, y, lon0, offset):
+    xi1, eta1 = _unstretched(m, (y + offset) / RADIUS, x / RADIUS)
+    chi = m.asin(m.sin(xi1) / m.cosh(eta1))
+    return lon0 + m.degrees(m.atan2(m.sinh(eta1), m.cos(xi1))), _latitude(m, chi)
 
 
-def _columns(transform, x, y, epsg) -> tuple[Column, Column]:
+def _parameters(epsg: int | Column) -> tuple[Column, Column]:
+    """Central meridian and meridian offset of a zone; NULL when it is not supported."""
     if isinstance(epsg, int):
-        if epsg in GEOGRAPHIC:
-            return x, y
-        if epsg not in ZONE_PARAMETERS:
-            missing = F.lit(None).cast("double")
-            return missing, missing
-        return transform(F, x, y, *(F.lit(v) for v in ZONE_PARAMETERS[epsg]))
-    a, b = transform(F, x, y, _lookup(epsg, 0), _lookup(epsg, 1))
-    keep = epsg.isin(*GEOGRAPHIC)
-    return F.when(keep, x).otherwise(a), F.when(keep, y).otherwise(b)
+        found = ZONE_PARAMETERS.get(epsg, (None, None))
+        return tuple(F.lit(v).cast("double") for v in found)
+    table = F.create_map(*(
+        v for code, p in ZONE_PARAMETERS.items() for v in (F.lit(code), F.array(F.lit(p[0]), F.lit(p[1])))
+    ))
+    found = F.try_element_at(table, epsg.cast("int"))
+    return found[0], found[1]
+
+
+def _unchanged(epsg: int | Column) -> Column:
+    return F.lit(epsg in GEOGRAPHIC) if isinstance(epsg, int) else F.coalesce(epsg.isin(*GEOGRAPHIC), F.lit(False))
+
+
+def _pair(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def geographic(x: Column, y: Column, epsg: int | Column) -> Column:
+    """struct(x=lon, y=lat) of a place; NULL members for a code that is not supported."""
+    lon0, offset = _parameters(epsg)
+
+    def sphere(v: Column) -> Column:
+        xi1, eta1 = _unstretched(F, v["xi"], v["eta"])
+        return let(lambda w: place(v, w), xi1=xi1, eta1=eta1)
+
+    def place(v: Column, w: Column) -> Column:
+        chi = F.asin(F.sin(w["xi1"]) / F.cosh(w["eta1"]))
+        lon = v["lon0"] + F.degrees(F.atan2(F.sinh(w["eta1"]), F.cos(w["xi1"])))
+        lat = let(lambda c: _latitude(F, c["chi"]), chi=chi)
+        return F.when(v["keep"], _pair(v["x"], v["y"])).otherwise(_pair(lon, lat))
+
+    x, y = x.cast("double"), y.cast("double")
+    return let(
+        sphere, keep=_unchanged(epsg), x=x, y=y, lon0=lon0, xi=(y + offset) / RADIUS, eta=x / RADIUS
+    )
+
+
+def plane(lon: Column, lat: Column, epsg: int | Column) -> Column:
+    """struct(x=easting, y=northing) of a place; NULL members for an unsupported code."""
+    lon0, offset = _parameters(epsg)
+
+    def spread(v: Column) -> Column:
+        return let(lambda w: stretch(v, w), xi1=F.atan2(v["t"], F.cos(v["d"])),
+                   eta1=F.atanh(F.sin(v["d"]) / F.sqrt(1 + v["t"] * v["t"])))
+
+    def stretch(v: Column, w: Column) -> Column:
+        xi, eta = _stretched(F, w["xi1"], w["eta1"])
+        return F.when(v["keep"], _pair(v["x"], v["y"])).otherwise(_pair(RADIUS * eta, RADIUS * xi - v["m"]))
+
+    lon, lat = lon.cast("double"), lat.cast("double")
+    return let(spread, keep=_unchanged(epsg), x=lon, y=lat, m=offset, t=_isometric(F, F.radians(lat)),
+               d=F.radians(lon - lon0))
 
 
 def to_wgs84(x: Column, y: Column, epsg: int | Column) -> tuple[Column, Column]:
     """(easting, northing) -> (lon, lat); NULL for a code that is not supported."""
-    return _columns(_inverse, x, y, epsg)
+    place = geographic(x, y, epsg)
+    return place["x"], place["y"]
 
 
 def from_wgs84(lon: Column, lat: Column, epsg: int | Column) -> tuple[Column, Column]:
     """(lon, lat) -> (easting, northing); NULL for a code that is not supported."""
-    return _columns(_forward, lon, lat, epsg)
+    place = plane(lon, lat, epsg)
+    return place["x"], place["y"]
+
+
+def with_wgs84(df: DataFrame, x: str, y: str, epsg: int | Column, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Adds lon and lat to a point-sized table.
+
+    Every intermediate value is a column of its own, so the whole chain stays plain
+    arithmetic in generated code instead of one huge expression.
+    """
+    lon0, offset = _parameters(epsg)
+    c = F.col
+    step = df.withColumns({"_l0": lon0, "_xi": (c(y) + offset) / RADIUS, "_eta": c(x) / RADIUS})
+    xi1, eta1 = _unstretched(F, c("_xi"), c("_eta"))
+    step = step.withColumns({"_xi1": xi1, "_eta1": eta1})
+    step = step.withColumn("_chi", F.asin(F.sin("_xi1") / F.cosh("_eta1")))
+    keep = _unchanged(epsg)
+    found_lon = c("_l0") + F.degrees(F.atan2(F.sinh("_eta1"), F.cos("_xi1")))
+    return step.withColumns({
+        lon: F.when(keep, c(x)).otherwise(found_lon), lat: F.when(keep, c(y)).otherwise(_latitude(F, c("_chi"))),
+    }).drop("_l0", "_xi", "_eta", "_xi1", "_eta1", "_chi")
+
+
+def with_plane(df: DataFrame, lon: str, lat: str, epsg: int | Column, x: str = "X", y: str = "Y") -> DataFrame:
+    """Adds plane coordinates to a point-sized table, in the same staged way."""
+    lon0, offset = _parameters(epsg)
+    c = F.col
+    step = df.withColumns({"_t": _isometric(F, F.radians(lat)), "_d": F.radians(c(lon) - lon0), "_m": offset})
+    step = step.withColumns({
+        "_xi1": F.atan2(c("_t"), F.cos("_d")), "_eta1": F.atanh(F.sin("_d") / F.sqrt(1 + c("_t") * c("_t"))),
+    })
+    xi, eta = _stretched(F, c("_xi1"), c("_eta1"))
+    keep = _unchanged(epsg)
+    made = step.withColumns({
+        "_px": F.when(keep, c(lon)).otherwise(RADIUS * eta), "_py": F.when(keep, c(lat)).otherwise(RADIUS * xi - c("_m")),
+    })
+    return made.withColumns({x: c("_px"), y: c("_py")}).drop("_t", "_d", "_m", "_xi1", "_eta1", "_px", "_py")
 
 
 def _corner_pairs(corners: int):
@@ -159,18 +253,21 @@ def bbox_to_wgs84(bbox: Column, epsg: int | Column, corners: int = 4) -> Column:
 
     NULL when the code is not supported or the box has neither 4 nor 6 values.
     """
-    flat = plane_box(bbox)
-    places = [to_wgs84(flat[i], flat[j], epsg) for i, j in _corner_pairs(corners)]
-    lons, lats = [p[0] for p in places], [p[1] for p in places]
-    low_x, low_y = F.least(*lons), F.least(*lats)
-    high_x, high_y = F.greatest(*lons), F.greatest(*lats)
-    flat_box = F.array(low_x, low_y, high_x, high_y)
-    deep_box = F.array(
-        low_x, low_y, F.try_element_at(bbox, F.lit(3)),
-        high_x, high_y, F.try_element_at(bbox, F.lit(6)),
-    )
-    known = low_x.isNotNull() & low_y.isNotNull()
-    return F.when(known & (F.size(bbox) == 4), flat_box).when(known & (F.size(bbox) == 6), deep_box)
+    def moved(v: Column) -> Column:
+        box = v["box"]
+        flat = plane_box(box)
+        corner = F.array(*(_pair(flat[i], flat[j]) for i, j in _corner_pairs(corners)))
+        places = F.transform(corner, lambda c: geographic(c["x"], c["y"], v["epsg"] if column else epsg))
+        return let(lambda w: rebuilt(box, w), xs=F.transform(places, lambda p: p["x"]), ys=F.transform(places, lambda p: p["y"]))
+
+    def rebuilt(box: Column, w: Column) -> Column:
+        low_x, low_y, high_x, high_y = F.array_min(w["xs"]), F.array_min(w["ys"]), F.array_max(w["xs"]), F.array_max(w["ys"])
+        known = ~F.exists(w["xs"], lambda v: v.isNull()) & ~F.exists(w["ys"], lambda v: v.isNull())
+        deep = F.array(low_x, low_y, F.try_element_at(box, F.lit(3)), high_x, high_y, F.try_element_at(box, F.lit(6)))
+        return F.when(known & (F.size(box) == 4), F.array(low_x, low_y, high_x, high_y)).when(known & (F.size(box) == 6), deep)
+
+    column = isinstance(epsg, Column)
+    return let(moved, box=bbox, **({"epsg": epsg} if column else {}))
 
 
 def literal_bbox_to_wgs84(

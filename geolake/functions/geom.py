@@ -10,12 +10,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import crs
+from .binding import let
 
 _VERTICES = "array<array<double>>"
 
 
 def _geometry(kind: Column, polygons: Column) -> Column:
-    return F.when(polygons.isNotNull(), F.struct(kind.alias("type"), polygons.alias("polygons")))
+    return let(
+        lambda v: F.when(v["p"].isNotNull(), F.struct(v["k"].alias("type"), v["p"].alias("polygons"))), k=kind, p=polygons
+    )
+
+
+def _first_vertex(polygons: Column) -> Column:
+    first = F.try_element_at(F.try_element_at(polygons, F.lit(1)), F.lit(1))
+    return F.try_element_at(first, F.lit(1))
 
 
 def bbox_ring(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -33,32 +41,37 @@ def bbox_polygon(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Colu
 
 def from_geojson(text: Column) -> Column:
     """Geometry object as JSON text -> geometry; NULL for other kinds and for broken text."""
-    kind = F.get_json_object(text, "$.type")
-    raw = F.get_json_object(text, "$.coordinates")
-    point = F.from_json(raw, "array<double>")
-    polygon = F.from_json(raw, f"array<{_VERTICES}>")
-    multi = F.from_json(raw, f"array<array<{_VERTICES}>>")
-    polygons = (
-        F.when(kind == "Point", F.array(F.array(F.array(point))))
-        .when(kind == "Polygon", F.array(polygon))
-        .when(kind == "MultiPolygon", multi)
-    )
-    return _geometry(kind, polygons)
+    def read(v: Column) -> Column:
+        kind, raw = v["kind"], v["raw"]
+        point = F.from_json(raw, "array<double>")
+        polygon = F.from_json(raw, f"array<{_VERTICES}>")
+        multi = F.from_json(raw, f"array<array<{_VERTICES}>>")
+        polygons = (
+            F.when(kind == "Point", F.array(F.array(F.array(point))))
+            .when(kind == "Polygon", F.array(polygon))
+            .when(kind == "MultiPolygon", multi)
+        )
+        # a list that could not be read comes back as NULL vertices or rings
+        sound = _first_vertex(polygons).isNotNull()
+        return F.when(sound, _geometry(kind, polygons))
+
+    return let(read, kind=F.get_json_object(text, "$.type"), raw=F.get_json_object(text, "$.coordinates"))
 
 
 def to_geojson(geometry: Column) -> Column:
-    kind, polygons = geometry["type"], geometry["polygons"]
-    first = F.try_element_at(polygons, F.lit(1))
-    vertex = F.try_element_at(F.try_element_at(first, F.lit(1)), F.lit(1))
-    coordinates = (
-        F.when(kind == "Point", F.to_json(vertex))
-        .when(kind == "Polygon", F.to_json(first))
-        .otherwise(F.to_json(polygons))
-    )
-    return F.when(
-        geometry.isNotNull(),
-        F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coordinates, F.lit("}")),
-    )
+    def write(v: Column) -> Column:
+        g = v["g"]
+        kind, polygons = g["type"], g["polygons"]
+        coordinates = (
+            F.when(kind == "Point", F.to_json(_first_vertex(polygons)))
+            .when(kind == "Polygon", F.to_json(F.try_element_at(polygons, F.lit(1))))
+            .otherwise(F.to_json(polygons))
+        )
+        return F.when(
+            g.isNotNull(), F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coordinates, F.lit("}"))
+        )
+
+    return let(write, g=geometry)
 
 
 def _vertex_text(vertex: Column) -> Column:
@@ -76,21 +89,16 @@ def _rings_text(polygon: Column) -> Column:
 
 
 def to_wkt(geometry: Column) -> Column:
-    kind, polygons = geometry["type"], geometry["polygons"]
-    first = F.try_element_at(polygons, F.lit(1))
-    vertex = F.try_element_at(F.try_element_at(first, F.lit(1)), F.lit(1))
-    return (
-        F.when(kind == "Point", F.concat(F.lit("POINT ("), _vertex_text(vertex), F.lit(")")))
-        .when(kind == "Polygon", F.concat(F.lit("POLYGON "), _rings_text(first)))
-        .when(
-            kind == "MultiPolygon",
-            F.concat(
-                F.lit("MULTIPOLYGON ("),
-                F.array_join(F.transform(polygons, _rings_text), ", "),
-                F.lit(")"),
-            ),
+    def write(v: Column) -> Column:
+        kind, polygons = v["g"]["type"], v["g"]["polygons"]
+        many = F.array_join(F.transform(polygons, _rings_text), ", ")
+        return (
+            F.when(kind == "Point", F.concat(F.lit("POINT ("), _vertex_text(_first_vertex(polygons)), F.lit(")")))
+            .when(kind == "Polygon", F.concat(F.lit("POLYGON "), _rings_text(F.try_element_at(polygons, F.lit(1)))))
+            .when(kind == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), many, F.lit(")")))
         )
-    )
+
+    return let(write, g=geometry)
 
 
 def from_wkt(text: Column) -> Column:
@@ -98,44 +106,51 @@ def from_wkt(text: Column) -> Column:
 
     The bracketed list is rewritten as a JSON array and read with ``from_json``.
     """
-    head = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
-    body = F.regexp_extract(text, r"(\(.*\))\s*$", 1)
     number = r"[-+0-9.eE]+"
+    body = F.regexp_extract(text, r"(\(.*\))\s*$", 1)
     commas = F.regexp_replace(body, rf"({number})\s+(?={number})", "$1;")
     vertices = F.regexp_replace(commas, rf"({number}(?:;{number})*)", "[$1]")
-    json = F.translate(vertices, "();", "[],")
-    point = F.try_element_at(F.from_json(json, _VERTICES), F.lit(1))
-    polygon = F.from_json(json, f"array<{_VERTICES}>")
-    multi = F.from_json(json, f"array<array<{_VERTICES}>>")
-    return (
-        F.when(head == "POINT", _geometry(F.lit("Point"), F.array(F.array(F.array(point)))))
-        .when(head == "POLYGON", _geometry(F.lit("Polygon"), F.array(polygon)))
-        .when(head == "MULTIPOLYGON", _geometry(F.lit("MultiPolygon"), multi))
-    )
+
+    def read(v: Column) -> Column:
+        head, json = v["head"], v["json"]
+        point = F.try_element_at(F.from_json(json, _VERTICES), F.lit(1))
+        polygons = (
+            F.when(head == "POINT", F.array(F.array(F.array(point))))
+            .when(head == "POLYGON", F.array(F.from_json(json, f"array<{_VERTICES}>")))
+            .when(head == "MULTIPOLYGON", F.from_json(json, f"array<array<{_VERTICES}>>"))
+        )
+        kind = F.when(head == "POINT", "Point").when(head == "POLYGON", "Polygon").otherwise("MultiPolygon")
+        return _geometry(kind, polygons)
+
+    head = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+    return let(read, head=head, json=F.translate(vertices, "();", "[],"))
 
 
 def to_wgs84(geometry: Column, epsg: int | Column) -> Column:
     """Every vertex reprojected; further ordinates (Z) pass through."""
-    def move(vertex: Column) -> Column:
-        lon, lat = crs.to_wgs84(vertex[0], vertex[1], epsg)
-        rest = F.slice(vertex, F.lit(3), F.greatest(F.size(vertex) - 2, F.lit(0)))
-        return F.concat(F.array(lon, lat), rest)
-
-    moved = F.transform(
-        geometry["polygons"],
-        lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, move)),
-    )
-    return _geometry(geometry["type"], moved)
+    column = isinstance(epsg, Column)
+
+    def moved(v: Column) -> Column:
+        def move(vertex: Column) -> Column:
+            place = crs.geographic(vertex[0], vertex[1], v["epsg"] if column else epsg)
+            rest = F.slice(vertex, F.lit(3), F.greatest(F.size(vertex) - 2, F.lit(0)))
+            return let(lambda w: F.concat(F.array(w["p"]["x"], w["p"]["y"]), rest), p=place)
+
+        polygons = F.transform(v["g"]["polygons"], lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, move)))
+        return _geometry(v["g"]["type"], polygons)
+
+    return let(moved, g=geometry, **({"epsg": epsg} if column else {}))
 
 
 def bounds(geometry: Column) -> Column:
     """[minx, miny, maxx, maxy] over all vertices."""
-    vertices = F.flatten(F.flatten(geometry["polygons"]))
-    xs = F.transform(vertices, lambda v: v[0])
-    ys = F.transform(vertices, lambda v: v[1])
-    return F.when(
-        F.size(vertices) > 0, F.array(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
-    )
+    def box(v: Column) -> Column:
+        xs, ys = F.transform(v["v"], lambda p: p[0]), F.transform(v["v"], lambda p: p[1])
+        return F.when(
+            F.size(v["v"]) > 0, F.array(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
+        )
+
+    return let(box, v=F.flatten(F.flatten(geometry["polygons"])))
 
 
 def intersects_box(geometry: Column, minx, miny, maxx, maxy) -> Column:
@@ -178,5 +193,7 @@ def intersects_box(geometry: Column, minx, miny, maxx, maxy) -> Column:
         at = e["x1"] + (e["x2"] - e["x1"]) * F.try_divide(south - e["y1"], e["y2"] - e["y1"])
         return spans & (west < at)
 
-    inside = F.size(F.filter(all_edges, crossed)) % 2 == 1
-    return F.exists(all_edges, meets) | inside
+    def decide(v: Column) -> Column:
+        return F.exists(v["e"], meets) | (F.size(F.filter(v["e"], crossed)) % 2 == 1)
+
+    return let(decide, e=all_edges)

@@ -45,15 +45,14 @@ def crop(points: DataFrame, bbox: Sequence[float], bbox_crs: str = "native", eps
 
 def reproject_points(points: DataFrame, target_epsg: int) -> DataFrame:
     """X, Y into another supported system, through geographic coordinates."""
-    lon, lat = crs.to_wgs84(F.col("X"), F.col("Y"), F.col("epsg"))
-    middle = points.withColumns({"_lon": lon, "_lat": lat})
-    x, y = crs.from_wgs84(F.col("_lon"), F.col("_lat"), target_epsg)
     same = F.col("epsg") == target_epsg
-    return middle.withColumns({
-        "X": F.when(same, F.col("X")).otherwise(x),
-        "Y": F.when(same, F.col("Y")).otherwise(y),
+    kept = points.withColumns({"_x": F.col("X"), "_y": F.col("Y")})
+    moved = crs.with_plane(crs.with_wgs84(kept, "X", "Y", F.col("epsg"), "_lon", "_lat"), "_lon", "_lat", target_epsg)
+    return moved.withColumns({
+        "X": F.when(same, F.col("_x")).otherwise(F.col("X")),
+        "Y": F.when(same, F.col("_y")).otherwise(F.col("Y")),
         "epsg": F.lit(target_epsg),
-    }).drop("_lon", "_lat")
+    }).drop("_lon", "_lat", "_x", "_y")
 
 
 def swap_axes(points: DataFrame) -> DataFrame:

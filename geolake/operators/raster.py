@@ -237,10 +237,10 @@ def warp_header(header: DataFrame, src_epsg: int, dst_epsg: int, dst_res: float)
         moved = boxed.withColumn("bbox", geographic)
     else:
         b = F.col("_b")
-        corners = [crs.from_wgs84(b[i], b[j], dst_epsg) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))]
-        xs, ys = [c[0] for c in corners], [c[1] for c in corners]
-        moved = boxed.withColumn("_b", geographic).withColumn(
-            "bbox", F.array(F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys))
+        corners = F.array(*(crs.plane(b[i], b[j], dst_epsg) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))))
+        xs, ys = (F.transform("_p", lambda p, a=a: p[a]) for a in "xy")
+        moved = boxed.withColumn("_b", geographic).withColumn("_p", corners).withColumn(
+            "bbox", F.array(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
         )
     b = F.col("bbox")
     return moved.select(
@@ -280,15 +280,17 @@ def warp(cells: DataFrame, header: DataFrame, src_epsg: int, dst_epsg: int, dst_
     valid neighbour have no row.
     """
     target = grid_cells(warp_header(header, src_epsg, dst_epsg, dst_res))
-    x = F.col("minx") + F.col("col") * dst_res
-    y = F.col("miny") + (F.col("height") - 1 - F.col("row")) * dst_res
-    lon, lat = crs.to_wgs84(x, y, dst_epsg)
-    geographic = target.select("raster_id", "row", "col", lon.alias("_lon"), lat.alias("_lat"))
-    sx, sy = crs.from_wgs84(F.col("_lon"), F.col("_lat"), src_epsg)
+    placed = target.withColumns({
+        "_x": F.col("minx") + F.col("col") * dst_res,
+        "_y": F.col("miny") + (F.col("height") - 1 - F.col("row")) * dst_res,
+    })
+    geographic = crs.with_wgs84(placed, "_x", "_y", dst_epsg, "_lon", "_lat").select("raster_id", "row", "col", "_lon", "_lat")
+    native = crs.with_plane(geographic, "_lon", "_lat", src_epsg, "_sx", "_sy")
+    sx, sy = F.col("_sx"), F.col("_sy")
     source = header.select(
         "raster_id", F.struct("minx", "miny", "width", "height", "resolution").alias("_s")
     )
-    placed = geographic.join(source, "raster_id").withColumns({
+    placed = native.join(source, "raster_id").withColumns({
         "_fx": (sx - F.col("_s.minx")) / F.col("_s.resolution"),
         "_fy": F.col("_s.height") - 1 - (sy - F.col("_s.miny")) / F.col("_s.resolution"),
     })

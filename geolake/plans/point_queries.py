@@ -266,10 +266,3 @@ def cross_section(spark, sf_dir):
     return rounded(heights.cross_section(points(spark, sf_dir), (51200, -49050), (51600, -49050)), 4)
 
 
-@query("reproject_points")
-def reproject_points(spark, sf_dir):
-    moved = pts.reproject_points(points(spark, sf_dir), 6677)
-    back = pts.reproject_points(moved, 6676)
-    return back.groupBy("source_file").agg(
-        F.count("*").alias("points"), F.round(F.min("X"), 3).alias("min_x"), F.round(F.max("Y"), 3).alias("max_y")
-    )

@@ -85,6 +85,8 @@ def header(spark: SparkSession, sf_dir: str, res: float = TERRAIN_RESOLUTION) ->
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per event; event times carry no zone and are read as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     c = F.col
     located = (c("event_id") % 97) != 0
     west = F.when(located, F.lit(138.6) + (c("user_id") % 40) * F.lit(0.005))
