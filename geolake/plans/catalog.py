@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import point_queries, search_queries, terrain_queries  # noqa: F401
+from . import document_queries, point_queries, search_queries, terrain_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -271,22 +271,32 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.explode("features").alias("f")).select(F.col("f.assets.data.href").alias("href"))
 
 
-def read_processing_metadata(spark: SparkSession, root: str) -> DataFrame:
-    """One row per conversion record, failures included (``error`` is set)."""
+def read_processing_metadata(
+    spark: SparkSession, root: str, glob: str = "*.metadata.json", multi_line: bool = True
+) -> DataFrame:
+    """One row per conversion record, failures included (``error`` is set).
+
+    ``multi_line`` reads one record per file; without it a file holds one record per line.
+    """
     return (
         spark.read.schema(schemas.PROCESSING).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.metadata.json").json(root, multiLine=True)
+        .option("pathGlobFilter", glob).json(root, multiLine=multi_line)
     )
 
 
-def read_raster_metadata(spark: SparkSession, root: str, glob: str = "*.metadata.json") -> DataFrame:
-    """Raster records: those with a product type and without an error, once per file."""
+def read_raster_metadata(
+    spark: SparkSession, root: str, glob: str = "*.metadata.json", multi_line: bool = True
+) -> DataFrame:
+    """Raster records: those with a product type and without an error.
+
+    Overlapping name patterns cannot read a file twice: one glob covers them all, and a
+    record repeated in several files counts once by its output file.
+    """
     raw = (
         spark.read.schema(schemas.RASTER).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).json(root, multiLine=True)
-        .withColumn("path", F.col("_metadata.file_path"))
+        .option("pathGlobFilter", glob).json(root, multiLine=multi_line)
     )
-    return raw.filter(F.col("dem_type").isNotNull() & F.col("error").isNull()).dropDuplicates(["path"])
+    return raw.filter(F.col("dem_type").isNotNull() & F.col("error").isNull()).dropDuplicates(["output_file"])
 
 
 def discover_inputs(listing: DataFrame, prefer: str = ".copc.", key: str = "path") -> DataFrame:

@@ -19,7 +19,8 @@ CREATED, REMOVED = "ObjectCreated", "ObjectRemoved"
 CHANGES = "key string, event string, event_time timestamp, doc string"
 
 
-def stream_documents(spark: SparkSession, root: str, glob: str = "*.json", per_batch: int | None = None) -> DataFrame:
+def stream_documents(spark: SparkSession, root: str, glob: str = "*.json", per_batch: int | None = None,
+                     ending: str = ".json") -> DataFrame:
     """Indexable documents as they appear below a folder, as change rows."""
     reader = (
         spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
@@ -34,7 +35,7 @@ def stream_documents(spark: SparkSession, root: str, glob: str = "*.json", per_b
         F.col("_metadata.file_modification_time").alias("event_time"),
         F.col("value").alias("doc"),
     )
-    return documents.list_objects(rows, "key")
+    return documents.list_objects(rows, "key", ending=ending)
 
 
 def latest(changes: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def compact(spark: SparkSession, index_dir: str) -> None:
     _point(spark, index_dir, {"base": name, "first": state["last"] + 1, "last": state["last"]})
 
 
-def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json") -> None:
+def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json", ending: str = ".json") -> None:
     """Full rebuild from the files: the batch path of the same index."""
     state = _pointer(spark, index_dir)
     raw = (
@@ -131,7 +132,7 @@ def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json"
     rows = documents.list_objects(raw.select(
         documents.relative_key(F.col("_metadata.file_path"), root).alias("key"), F.lit(CREATED).alias("event"),
         F.col("_metadata.file_modification_time").alias("event_time"), F.col("value").alias("doc"),
-    ), "key")
+    ), "key", ending=ending)
     name = f"base-{state['last'] + 1}-full"
     rows.write.mode("overwrite").parquet(f"{index_dir}/{name}")
     _point(spark, index_dir, {"base": name, "first": state["last"] + 1, "last": state["last"]})
