@@ -110,16 +110,17 @@ def rasterize(
     if mode == "bin":
         located = located.withColumns({"col": column, "_srow": south_row})
     elif mode == "radius":
-        steps = F.array(*(
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)
-        ))
-        dx, dy = fx - column, fy - south_row
-
-        def near(s: Column) -> Column:
-            return (s["i"] - dx) * (s["i"] - dx) + (s["j"] - dy) * (s["j"] - dy) <= 2.0 + 1e-9
-
-        located = located.withColumn("_s", F.explode(F.filter(steps, near)))
-        located = located.withColumns({"col": column + F.col("_s.i"), "_srow": south_row + F.col("_s.j")})
+        # centre offsets: columns within sqrt(2) cells, then for each the rows the circle spans
+        reach = 2.0 + 1e-9
+        located = located.withColumns({"_dx": fx - column, "_dy": fy - south_row, "_c": column, "_r": south_row})
+        located = located.withColumn("_i", F.explode(F.sequence(
+            F.ceil(F.col("_dx") - reach**0.5).cast("int"), F.floor(F.col("_dx") + reach**0.5).cast("int")
+        )))
+        across = F.col("_i") - F.col("_dx")
+        located = located.withColumn("_s", F.sqrt(F.greatest(F.lit(reach) - across * across, F.lit(0.0))))
+        low, high = F.ceil(F.col("_dy") - F.col("_s")).cast("int"), F.floor(F.col("_dy") + F.col("_s")).cast("int")
+        located = located.filter(low <= high).withColumn("_j", F.explode(F.sequence(low, high)))
+        located = located.withColumns({"col": F.col("_c") + F.col("_i"), "_srow": F.col("_r") + F.col("_j")})
     else:
         raise ValueError("mode must be 'bin' or 'radius'")
     row = F.col("_g.height") - 1 - F.col("_srow")

@@ -98,26 +98,25 @@ def nearest_join(
     )
 
 
-def points_in_areas(
-    points: DataFrame, areas: DataFrame, base: float = 16.0, levels: int = 24
-) -> DataFrame:
+def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0, levels: int = 24) -> DataFrame:
     """Points with every area (area_id, minx, miny, maxx, maxy) that holds them, closed.
 
-    An area is filed at the grid level whose cells are at least its size, so it covers at
-    most four cells however large it is; a point asks for its cell at each level that is
-    in use. Both sides meet by equality and an exact test follows. The area side is left
-    to runtime statistics: broadcast while small, else shuffled, with crowded cells split.
+    An area is filed at the grid level whose cells are about a quarter of its size, so it
+    covers at most 5 x 5 cells however large it is, and those cells hold little but the
+    area. A point asks for its cell at each level in use. Both sides meet by equality and
+    an exact test follows. The area side is left to runtime statistics: broadcast while
+    small, else shuffled, with crowded cells split.
     """
     size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    rank = F.ceil(F.log2(F.greatest(size / base, F.lit(1.0)))).cast("int")
-    filed = areas.withColumn("_l", F.least(rank, F.lit(levels)))
+    rank = F.least(F.ceil(F.log2(F.greatest(size / (4 * base), F.lit(1.0)))).cast("int"), F.lit(levels))
     side = F.lit(base) * F.pow(F.lit(2.0), F.col("_l"))
+    filed = areas.withColumn("_l", rank).withColumn("_side", side)
 
     def span(a: str) -> Column:
-        return F.sequence(F.floor(F.col(f"min{a}") / side), F.floor(F.col(f"max{a}") / side))
+        return F.sequence(F.floor(F.col(f"min{a}") / F.col("_side")), F.floor(F.col(f"max{a}") / F.col("_side")))
 
-    filed = filed.withColumn("_cx", F.explode(span("x"))).withColumn("_cy", F.explode(span("y")))
-    in_use = areas.select(F.least(rank, F.lit(levels)).alias("_l")).agg(F.sort_array(F.collect_set("_l"))).scalar()
+    filed = filed.withColumn("_cx", F.explode(span("x"))).withColumn("_cy", F.explode(span("y"))).drop("_side")
+    in_use = areas.agg(F.sort_array(F.collect_set(rank))).scalar()
     asked = points.withColumn("_l", F.explode(in_use)).withColumns({
         "_cx": F.floor(F.col("X") / side), "_cy": F.floor(F.col("Y") / side),
     })

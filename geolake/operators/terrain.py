@@ -160,36 +160,25 @@ def with_hillshade(
     Light and edge rules are the public defaults of common tools, taken as assumptions.
     """
     north, south, west, east = _edges()
-    v = F.col("value")
-    got = {k: F.coalesce(F.col(k), v) for k in ("nw", "n", "ne", "w", "e", "sw", "s", "se")}
-    # rows first: at the north or south edge columns are clamped, then mirrored through the centre row
-    def clamp(left: bool, line: str) -> Column:
-        own = {"n": got["n"], "c": v, "s": got["s"]}[line]
-        side = {"n": ("nw", "ne"), "c": ("w", "e"), "s": ("sw", "se")}[line][0 if left else 1]
-        return F.when(west if left else east, own).otherwise(got[side])
-
-    upper = {k: F.when(north, 2 * mid - low) for k, mid, low in (
-        ("nw", clamp(True, "c"), clamp(True, "s")), ("n", v, got["s"]), ("ne", clamp(False, "c"), clamp(False, "s")),
-    )}
-    lower = {k: F.when(south, 2 * mid - high) for k, mid, high in (
-        ("sw", clamp(True, "c"), clamp(True, "n")), ("s", v, got["n"]), ("se", clamp(False, "c"), clamp(False, "n")),
-    )}
-    inner = ~north & ~south
-    sides = {
-        "nw": F.when(inner & west, 2 * got["n"] - got["ne"]), "w": F.when(inner & west, 2 * v - got["e"]),
-        "sw": F.when(inner & west, 2 * got["s"] - got["se"]), "ne": F.when(inner & east, 2 * got["n"] - got["nw"]),
-        "e": F.when(inner & east, 2 * v - got["w"]), "se": F.when(inner & east, 2 * got["s"] - got["sw"]),
-    }
-    clamped = {
-        "nw": clamp(True, "n"), "ne": clamp(False, "n"), "w": clamp(True, "c"), "e": clamp(False, "c"),
-        "sw": clamp(True, "s"), "se": clamp(False, "s"), "n": got["n"], "s": got["s"],
-    }
-    cell = {}
-    for k in got:
-        options = [o[k] for o in (upper, lower, sides) if k in o]
-        cell[f"_h{k}"] = F.coalesce(*options, clamped[k])
-    full = near.withColumns(cell)
-    h = {k: F.col(f"_h{k}") for k in got}
+    v, names = F.col("value"), ("nw", "n", "ne", "w", "e", "sw", "s", "se")
+    h = {k: F.col(f"_h{k}") for k in names}
+    filled = near.withColumns({f"_h{k}": F.coalesce(F.col(k), v) for k in names})
+    # sides: extrapolated along inner rows, repeated in the corners
+    edge_row = north | south
+
+    def side(edge: Column, lost: str, middle: Column, other: str) -> Column:
+        return F.when(edge & edge_row, middle).when(edge, 2 * middle - h[other]).otherwise(h[lost])
+
+    sides = filled.withColumns({
+        "_hnw": side(west, "nw", h["n"], "ne"), "_hw": side(west, "w", v, "e"), "_hsw": side(west, "sw", h["s"], "se"),
+        "_hne": side(east, "ne", h["n"], "nw"), "_he": side(east, "e", v, "w"), "_hse": side(east, "se", h["s"], "sw"),
+    })
+    # top and bottom lines: extrapolated from the two lines beside them
+    full = sides.withColumns({
+        "_hnw": F.when(north, 2 * h["w"] - h["sw"]).otherwise(h["nw"]), "_hn": F.when(north, 2 * v - h["s"]).otherwise(h["n"]),
+        "_hne": F.when(north, 2 * h["e"] - h["se"]).otherwise(h["ne"]), "_hsw": F.when(south, 2 * h["w"] - h["nw"]).otherwise(h["sw"]),
+        "_hs": F.when(south, 2 * v - h["n"]).otherwise(h["s"]), "_hse": F.when(south, 2 * h["e"] - h["ne"]).otherwise(h["se"]),
+    })
     x = ((h["nw"] + 2 * h["w"] + h["sw"]) - (h["ne"] + 2 * h["e"] + h["se"])) / (8 * res)
     y = ((h["sw"] + 2 * h["s"] + h["se"]) - (h["nw"] + 2 * h["n"] + h["ne"])) / (8 * res)
     lit = full.withColumns({"_x": x, "_y": y})
@@ -198,7 +187,7 @@ def with_hillshade(
     turn = F.atan2(F.col("_y"), F.col("_x")) - F.radians(F.lit(az))
     light = (F.sin(sun) - F.cos(sun) * z * F.sqrt(flat) * F.sin(turn)) / F.sqrt(1 + z * z * flat)
     byte = F.when(light <= 0, 1.0).otherwise(1 + 254 * light)
-    return lit.withColumn("hillshade", F.when(v.isNotNull(), byte)).drop("_x", "_y", *cell)
+    return lit.withColumn("hillshade", F.when(v.isNotNull(), byte)).drop("_x", "_y", *(f"_h{k}" for k in names))
 
 
 # --- summaries --------------------------------------------------------------------------

@@ -26,30 +26,40 @@ def _item_docs(spark, sf_dir):
     i = items(spark, sf_dir).withColumn("n", F.expr("cast(substring(id, 6) as bigint)"))
     n = F.col("n")
     located = F.col("minx").isNotNull()
-    box4 = F.array("minx", "miny", "maxx", "maxy")
-    box6 = F.array(F.col("minx"), F.col("miny"), F.lit(0.0), F.col("maxx"), F.col("maxy"), F.lit(99.0))
-    box = F.when(located & (n % 5 != 2), F.when(n % 5 == 3, box6).otherwise(box4))
-    ring = geom.bbox_ring(*(F.col(c) for c in ("minx", "miny", "maxx", "maxy")))
-    shape = F.when(located & (n % 5 != 1), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    west, south, east, north = (F.col(c).cast("string") for c in ("minx", "miny", "maxx", "maxy"))
+
+    def member(name, value):
+        """A JSON member text, or nothing where the value is NULL."""
+        return F.coalesce(F.concat(F.lit(f',"{name}":'), value), F.lit(""))
+
+    def quoted(value):
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    def listed(*values):
+        return F.concat(F.lit("["), F.concat_ws(",", *values), F.lit("]"))
+
+    box = F.when(located & (n % 5 != 2), F.when(n % 5 == 3, listed(west, south, F.lit("0.0"), east, north, F.lit("99.0")))
+                 .otherwise(listed(west, south, east, north)))
+    ring = listed(listed(west, south), listed(east, south), listed(east, north), listed(west, north), listed(west, south))
+    shape = F.when(located & (n % 5 != 1), F.concat(F.lit('{"type":"Polygon","coordinates":['), ring, F.lit("]}")))
     when = F.when(n % 13 == 0, F.lit("not a time")).otherwise(render.iso_time(F.col("datetime")))
     count = F.when(n % 23 == 0, F.lit("12.5")).when(n % 29 != 0, F.col("pc_count").cast("string"))
-    asset = F.struct(F.concat(F.lit("https://example.org/data/"), F.col("id")).alias("href"),
-                     F.when(n % 2 == 0, F.lit(search.COG_TYPE)).otherwise("image/png").alias("type"),
-                     F.array(F.when(n % 3 == 0, F.lit("elevation")).otherwise("data")).alias("roles"))
-    body = F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.lit("1.0.0").alias("stac_version"), "id",
-        F.when(n % 11 != 0, F.col("collection")).alias("collection"),
-        box.alias("bbox"), shape.alias("geometry"),
-        F.struct(
-            F.when(n % 7 != 0, F.col("title")).alias("title"), when.alias("datetime"),
-            F.lit("lidar").alias("pc:type"), F.col("proj_epsg").alias("proj:epsg"),
-        ).alias("properties"),
-        F.create_map(F.when(n % 31 == 0, F.lit("thumb")).otherwise(F.lit("data")), asset).alias("assets"),
-        F.array(F.struct(F.lit("root").alias("rel"), F.lit("../../catalog.json").alias("href"))).alias("links"),
-    ))
-    rows = i.select(n.alias("n"), F.concat_ws("/", "collection", "id", "id").alias("p"), count.alias("k"), body.alias("body"))
-    counted = F.replace("body", F.lit('"properties":{'), F.concat(F.lit('"properties":{"pc:count":'), F.col("k"), F.lit(",")))
-    rows = rows.select("n", "p", F.coalesce(counted, F.col("body")).alias("doc"))
+    properties = F.concat(
+        F.lit('{"pc:type":"lidar"'), member("pc:count", count), member("title", F.when(n % 7 != 0, quoted(F.col("title")))),
+        member("datetime", quoted(when)), member("proj:epsg", F.col("proj_epsg").cast("string")), F.lit("}"),
+    )
+    assets = F.concat(
+        F.lit('{"'), F.when(n % 31 == 0, "thumb").otherwise("data"), F.lit('":{"href":"https://example.org/data/'), F.col("id"),
+        F.lit('","type":"'), F.when(n % 2 == 0, search.COG_TYPE).otherwise("image/png"),
+        F.lit('","roles":["'), F.when(n % 3 == 0, "elevation").otherwise("data"), F.lit('"]}}'),
+    )
+    body = F.concat(
+        F.lit('{"type":"Feature","stac_version":"1.0.0"'), member("id", quoted(F.col("id"))),
+        member("collection", F.when(n % 11 != 0, quoted(F.col("collection")))), member("bbox", box), member("geometry", shape),
+        member("properties", properties), member("assets", assets),
+        F.lit(',"links":[{"rel":"root","href":"../../catalog.json"}]}'),
+    )
+    rows = i.select(n.alias("n"), F.concat_ws("/", "collection", "id", "id").alias("p"), body.alias("doc"))
     n, p, doc = F.col("n"), F.col("p"), F.col("doc")
 
     def variant(keep, path, text):

@@ -247,7 +247,7 @@ h AS (SELECT a.Z - n[4] AS height, sqrt(n[1]) AS distance FROM a JOIN best USING
 SELECT count(*) AS points, round(min(height),6) AS min_height, round(max(height),6) AS max_height,
        round(avg(height),4) AS mean_height, count(*) FILTER (WHERE height > 10) AS tall, round(max(distance),6) AS max_distance FROM h""")
 def nearest_ground(spark, sf_dir):
-    h = heights.building_heights(points(spark, sf_dir), leaf=2.0)
+    h = heights.building_heights(points(spark, sf_dir), leaf=1.0)
     return h.agg(
         F.count("*").alias("points"), F.round(F.min("height"), 6).alias("min_height"),
         F.round(F.max("height"), 6).alias("max_height"), F.round(F.avg("height"), 4).alias("mean_height"),

@@ -221,7 +221,7 @@ light AS (SELECT *, (sin(radians(45)) - cos(radians(45)) * 1.5::DOUBLE * sqrt(gx
 SELECT "row", col, round(CASE WHEN c <= 0 THEN 1 ELSE 1 + 254 * c END, 4) AS hillshade FROM light""")
 def hillshade(spark, sf_dir):
     shaded = terrain.with_hillshade(_near(spark, sf_dir), RES)
-    inner = shaded.filter("row > 0 AND row < height - 1 AND col > 0 AND col < width - 1 AND hillshade IS NOT NULL")
+    inner = shaded.filter("row > 0 AND row < height - 1 AND col > 0 AND col < width - 1 AND value IS NOT NULL")
     return rounded(inner.select("row", "col", "hillshade"), 4)
 
 
