@@ -23,9 +23,11 @@ BLOCK = 512
 
 def raster_header(points: DataFrame, resolution: float, by: str | None = None) -> DataFrame:
     """Grid of each raster: cell 0 is centred on the minimum point."""
-    raster_id = F.lit("raster") if by is None else F.col(by)
-    grouped = points.groupBy(raster_id.alias("raster_id")) if by else points.groupBy()
+    # the name of a single raster comes out of the aggregate, so that joins on it stay equi joins
+    grouped = points.groupBy(F.col(by).alias("raster_id")) if by else points.groupBy()
+    name = [] if by else [F.max(F.lit("raster")).alias("raster_id")]
     box = grouped.agg(
+        *name,
         F.min("X").alias("minx"), F.min("Y").alias("miny"),
         F.max("X").alias("maxx"), F.max("Y").alias("maxy"),
     )
@@ -34,8 +36,7 @@ def raster_header(points: DataFrame, resolution: float, by: str | None = None) -
         for a in ("x", "y")
     ]
     return box.select(
-        (F.col("raster_id") if by else raster_id.alias("raster_id")),
-        "minx", "miny",
+        "raster_id", "minx", "miny",
         size[0].alias("width"), size[1].alias("height"),
         F.lit(float(resolution)).alias("resolution"),
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FANOUT = 4
+FANOUT = 2
 
 
 def _cells(df: DataFrame, level: int) -> DataFrame:
@@ -33,7 +33,7 @@ def nearest_join(
     row, and the lowest payload there (in the stated column order) is the tie rule. A grid
     pyramid, four times finer per level, then narrows down candidate cell pairs: a pair
     survives while its smallest possible distance does not exceed the best guaranteed
-    distance of its left cell. One cell has at most 16 children, so fan-out is bounded at
+    distance of its left cell. One cell has at most four children, so fan-out is bounded at
     every level however crowded a place is, and no level compares all pairs of a group.
     ``leaf`` is the finest cell; it should hold few distinct places.
 

@@ -341,9 +341,9 @@ def classify_ground(points: DataFrame, cell: float, slope: float = 0.3, window:
     from .raster import GROUND, raster_header
 
     header = raster_header(points, cell)
-    one = header.select(F.struct("minx", "miny", "height").alias("g")).scalar()
+    one = header.select(F.struct("raster_id", "minx", "miny", "height").alias("g")).scalar()
     located = points.withColumn("_g", one).withColumns({
-        "raster_id": F.lit("raster"),
+        "raster_id": F.col("_g.raster_id"),
         "col": F.floor((F.col("X") - F.col("_g.minx")) / cell + 0.5).cast("int"),
         "row": (F.col("_g.height") - 1 - F.floor((F.col("Y") - F.col("_g.miny")) / cell + 0.5)).cast("int"),
     }).drop("_g")

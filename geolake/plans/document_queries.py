@@ -81,7 +81,7 @@ def stored(spark, sf_dir, name, build):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = scratch_dir(spark, name)
-        build().write.parquet(path)
+        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _STORED[key] = path
     docs = spark.read.schema("path string, doc string").parquet(_STORED[key])
     return docs.withColumn("type", documents.document_type(F.col("doc")))

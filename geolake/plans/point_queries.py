@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import crs
 from ..operators import heights, points as pts, spatial_join
 from .registry import query, rounded
-from .views import POINTS, cells, header, points, table  # noqa: F401
-from .views import meta
+from .views import POINTS, points, spread, table
 
 SURVEY_BOX = (51250.0, -49150.0, 51350.0, -49050.0)
 CROP_BOX = (51260.0, -49160.0, 51420.0, -49020.0)
@@ -103,7 +102,7 @@ def points_in_areas(spark, sf_dir):
         F.col("p_partkey").alias("area_id"), x.alias("minx"), y.alias("miny"),
         (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size") / 2).alias("maxy"),
     )
-    inside = spatial_join.points_in_areas(points(spark, sf_dir), areas)
+    inside = spatial_join.points_in_areas(spread(points(spark, sf_dir)), areas)
     return inside.groupBy("area_id").agg(F.count("*").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import color
 from ..operators import raster, terrain
 from .registry import NUDGE, query, rounded
-from .views import POINTS, cells, cells_sql, grid_sql, header, header_sql, points, raster_sql, table  # noqa: F401
+from .views import POINTS, cells, cells_sql, grid_sql, header, header_sql, points, raster_sql, spread
 
 RES = 2.0
 AREA = RES * RES
@@ -44,7 +44,7 @@ for _kind in raster.PRODUCTS:
 SELECT CAST(height - 1 - srow AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, count(*) AS points, round(max(Z),6) AS max_z FROM near
 WHERE dx*dx + dy*dy <= 2.0::DOUBLE + 1e-9 AND col >= 0 AND col < width AND srow >= 0 AND srow < height GROUP BY 1, 2""")
 def raster_radius(spark, sf_dir):
-    cloud = points(spark, sf_dir)
+    cloud = spread(points(spark, sf_dir))
     top = raster.rasterize(cloud, "dem", RES, mode="radius").withColumnRenamed("value", "max_z")
     count = raster.rasterize(cloud, "density", RES, mode="radius").withColumnRenamed("value", "points")
     both = top.join(count, ["raster_id", "row", "col"])
