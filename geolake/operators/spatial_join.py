@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 FANOUT = 2
 
 
@@ -54,8 +56,9 @@ def nearest_join(
     places = left.select("X", "Y").distinct().withColumns(cell)
     grounds = right.groupBy("X", "Y").agg(F.min(F.struct(*payload)).alias("p")).withColumns(cell)
 
-    # occupied leaf cells once; coarser levels are derived from them
-    left_leaf, right_leaf = _cells(places, 0), _cells(grounds, 0)
+    # Every level starts from the occupied leaf cells, so these are written once to the shared
+    # folder instead of being worked out again from the points at each level.
+    left_leaf, right_leaf = cut_lineage(_cells(places, 0)), cut_lineage(_cells(grounds, 0))
     pairs = None
     for level in range(top, -1, -1):
         lc, rc = _cells(left_leaf, level), _cells(right_leaf, level)
