@@ -80,18 +80,18 @@ def contained(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """For each row of docs (id, digest, third) its key and that of the next one, ids descending, null last.
+    """For each row of docs (id, digest, third; no nulls) its key and that of the next one, ids descending.
 
     Rows with one id go by the digest of their text; equal rows follow each other. After the last comes the first.
     Ranges of ids are dealt out and written once, so the order is found range by range; only the first key
     of each range meets the others, a few thousand rows whatever the input.
     """
     keys = docs.groupBy("id", "digest").agg(F.count("*").alias("n"), F.max("third").alias("third"))
-    order = [F.col("id").desc_nulls_last(), F.col("digest")]
+    order = [F.col("id").desc(), F.col("digest")]
     keys = stored(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "keys")
     key = F.struct("id", "digest")
     in_part = Window.partitionBy("part").orderBy(*order)
-    rank = F.struct(F.col("id").isNull(), -F.coalesce(F.col("id"), F.lit(0)), F.col("digest"))
+    rank = F.struct(F.bitwise_not("id"), "digest")  # flips the order of ids
     heads = keys.groupBy(F.col("part").alias("h_part")).agg(F.min_by(key, rank).alias("head"))
     heads = heads.withColumn("first", F.min_by("head", "h_part").over(Window.partitionBy(F.lit(0))))
     heads = heads.select("h_part", F.coalesce(F.lead("head").over(Window.orderBy("h_part")), F.col("first")).alias("after"))
@@ -111,23 +111,26 @@ def edited_pairs(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     A null text is empty. Repeated rows and ids: see ``with_next``. An empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    # Keys without nulls, so that both joins are plain equalities and share one shuffle of the texts. No id: the lowest one.
+    doc_id = F.col("doc_id").cast("bigint")
+    keyed = docs.select(
+        F.coalesce(doc_id, F.lit(_LOWEST)).alias("id"), F.xxhash64(text, doc_id.isNull()).alias("digest"), doc_id.isNull().alias("no_id"), text.alias("text"))
     third = F.floor(F.length("text") / 3).cast("int").alias("third")
     hops = with_next(keyed.select("id", "digest", third))
     # One row for each distinct (id, text): repeated rows are counted in the hops.
     nth = F.row_number().over(Window.partitionBy("id", "digest").orderBy("id"))
     texts = keyed.withColumn("sketch", sketch(F.col("text"), scale=scale)).withColumn("nth", nth).filter("nth = 1").drop("nth")
     after = texts.select(F.col("id").alias("a_id"), F.col("digest").alias("a_digest"), F.col("text").alias("a_text"), F.col("sketch").alias("a_sketch"))
-    heads = hops.join(after, F.col("next_id").eqNullSafe(F.col("a_id")) & (F.col("next_digest") == F.col("a_digest"))).select(
+    heads = hops.join(after, (F.col("next_id") == F.col("a_id")) & (F.col("next_digest") == F.col("a_digest"))).select(
         F.col("id").alias("h_id"), F.col("digest").alias("h_digest"), "rows", "third",
         F.substring("a_text", F.lit(1), F.col("third")).alias("head"), "a_sketch")
-    joined = texts.join(heads, F.col("id").eqNullSafe(F.col("h_id")) & (F.col("digest") == F.col("h_digest")))
+    joined = texts.join(heads, (F.col("id") == F.col("h_id")) & (F.col("digest") == F.col("h_digest")))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.col("third")), F.col("head"))
-    joined = joined.select("id", "rows", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "sketch", "a_sketch")
+    joined = joined.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "rows", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "sketch", "a_sketch")
     joined = joined.withColumn("e_sketch", sketch(F.col("edited"), scale=scale))
     out = joined.select(
-        F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         fingerprint(F.col("sketch")).alias("fingerprint"), fingerprint(F.col("e_sketch")).alias("edited_fingerprint"),
         jaccard(F.col("sketch"), F.col("e_sketch")).alias("near_edited"), jaccard(F.col("sketch"), F.col("a_sketch")).alias("near_next"),
         contained(F.col("sketch"), F.col("e_sketch")).alias("part_in_edited"), contained(F.col("sketch"), F.col("a_sketch")).alias("part_in_next"),

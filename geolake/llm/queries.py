@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing
+from . import bpe, chat, fingerprints, mixing, secrets, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +107,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_fingerprint_documents")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(read(spark, sf_dir, "documents"))
+
+
+@query("op1_count_tokens")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"))
+
+
+@query("op10_byte_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
+
+
+@query("op4_scan_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
