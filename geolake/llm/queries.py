@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, mixing, secrets, token_counts
+from . import bpe, chat, fingerprints, mixing, ngram_join, secrets, token_counts
 from .shared import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_scan_secrets")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
+
+
+@query("op8_join_ngrams")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(read(spark, sf_dir, "documents"))
