@@ -247,7 +247,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     asked = dealt.select("node").distinct().join(classes.select("node", "least_id"), "node")
     # One document of a class gives its set; rows that share its doc_id fall out by the name of their own set.
     sample = every.join(asked, "node").filter("doc_id <=> least_id").select("node", "least_id").distinct()
-    texts = docs.select("doc_id", "text").join(sample, F.col("doc_id").eqNullSafe(F.col("least_id")))
+    texts = docs.select("doc_id", "text").join(sample.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
     sets = word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")
     gathered = dealt.join(_true_sets(sets), "node")
 

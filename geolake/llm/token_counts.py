@@ -136,8 +136,8 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None, cache: str | Non
     contents = keyed.groupBy("content").agg(F.min("doc_id").alias("sample"))
     known = read_cache(spark, cache, version).select("content").distinct()
     misses = stored(contents.join(known, "content", "left_anti"), "misses")
-    # One document stands for each missing content: only its text moves.
-    wanted = docs.select("doc_id", text.alias("text")).join(misses, F.col("doc_id").eqNullSafe(F.col("sample")), "left_semi")
+    # One document stands for each missing content. The misses grow with the input, so they are never broadcast.
+    wanted = docs.select("doc_id", text.alias("text")).join(misses.hint("merge"), F.col("doc_id").eqNullSafe(F.col("sample")), "left_semi")
     fresh = encode_counts(wanted.select(content.alias("content"), text.cast("binary").alias("text")), tokenizer, version)
     fresh.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")).select(
         F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache)
