@@ -80,13 +80,13 @@ def contained(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """For each row of docs (id, digest, third; no nulls) its key and that of the next one, ids descending.
+    """For each row of docs (id, digest, third, no_id; no nulls) its key and that of the next one, ids descending.
 
     Rows with one id go by the digest of their text; equal rows follow each other. After the last comes the first.
     Ranges of ids are dealt out and written once, so the order is found range by range; only the first key
     of each range meets the others, a few thousand rows whatever the input.
     """
-    keys = docs.groupBy("id", "digest").agg(F.count("*").alias("n"), F.max("third").alias("third"))
+    keys = docs.groupBy("id", "digest").agg(F.count("*").alias("n"), F.max("third").alias("third"), F.max("no_id").alias("no_id"))
     order = [F.col("id").desc(), F.col("digest")]
     keys = stored(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "keys")
     key = F.struct("id", "digest")
@@ -99,8 +99,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     linked = linked.withColumn("next", F.coalesce("next", "after"))
     own = F.struct(key.alias("next"), (F.col("n") - 1).alias("rows"))
     last = F.struct(F.col("next"), F.lit(1).cast("bigint").alias("rows"))
-    hops = linked.select("id", "digest", "third", F.explode(F.filter(F.array(own, last), lambda x: x["rows"] > 0)).alias("hop"))
-    return hops.select("id", "digest", "third", F.col("hop.next.id").alias("next_id"), F.col("hop.next.digest").alias("next_digest"), F.col("hop.rows").alias("rows"))
+    hops = linked.select("id", "digest", "third", "no_id", F.explode(F.filter(F.array(own, last), lambda x: x["rows"] > 0)).alias("hop"))
+    return hops.select("id", "digest", "third", "no_id", F.col("hop.next.id").alias("next_id"), F.col("hop.next.digest").alias("next_digest"), F.col("hop.rows").alias("rows"))
 
 
 def edited_pairs(docs: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -116,13 +116,14 @@ def edited_pairs(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     keyed = docs.select(
         F.coalesce(doc_id, F.lit(_LOWEST)).alias("id"), F.xxhash64(text, doc_id.isNull()).alias("digest"), doc_id.isNull().alias("no_id"), text.alias("text"))
     third = F.floor(F.length("text") / 3).cast("int").alias("third")
-    hops = with_next(keyed.select("id", "digest", third))
+    hops = with_next(keyed.select("id", "digest", third, "no_id"))
     # One row for each distinct (id, text): repeated rows are counted in the hops.
     nth = F.row_number().over(Window.partitionBy("id", "digest").orderBy("id"))
-    texts = keyed.withColumn("sketch", sketch(F.col("text"), scale=scale)).withColumn("nth", nth).filter("nth = 1").drop("nth")
+    # Both joins read the same columns of it, so one shuffle serves both.
+    texts = keyed.drop("no_id").withColumn("sketch", sketch(F.col("text"), scale=scale)).withColumn("nth", nth).filter("nth = 1").drop("nth")
     after = texts.select(F.col("id").alias("a_id"), F.col("digest").alias("a_digest"), F.col("text").alias("a_text"), F.col("sketch").alias("a_sketch"))
     heads = hops.join(after, (F.col("next_id") == F.col("a_id")) & (F.col("next_digest") == F.col("a_digest"))).select(
-        F.col("id").alias("h_id"), F.col("digest").alias("h_digest"), "rows", "third",
+        F.col("id").alias("h_id"), F.col("digest").alias("h_digest"), "rows", "third", "no_id",
         F.substring("a_text", F.lit(1), F.col("third")).alias("head"), "a_sketch")
     joined = texts.join(heads, (F.col("id") == F.col("h_id")) & (F.col("digest") == F.col("h_digest")))
     n = F.length("text")
