@@ -29,8 +29,9 @@ _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e
 #: A space inside a longer run of white space, where cutting at every space would cut a match.
 _INNER_SPACE = re.compile(rb"[\x20\t-\r]\x20(?:[\x20\t-\r]|\Z)")
 _UNIT = re.compile(rb"[\x20\t-\r]*[^\x20\t-\r]+|[\x20\t-\r]+")
-#: Pieces that need no pattern: letters of ASCII and Latin-1 after at most one space, then marks.
-_SIMPLE = re.compile(rb"( ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,!?;:%&*#$|()\-]*)")
+#: Pieces that need no pattern: letters of ASCII and Latin-1 after at most one space, marks, and the same again on a next line.
+_LETTERS, _MARKS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+", rb"[.,!?;:%&*#$|()\-]*"
+_SIMPLE = re.compile(rb"( ?" + _LETTERS + rb")(" + _MARKS + rb")(?:(\n)(" + _LETTERS + rb")(" + _MARKS + rb"))?")
 
 
 def byte_characters() -> dict[int, str]:
@@ -74,21 +75,30 @@ class UnitIds(dict):
     def __init__(self, description: str):
         super().__init__()
         self.tokenizer = load(description)
+        self.met: dict[bytes, bytes] = {}
         self.table = np.array([byte_characters()[b] for b in range(256)])
 
     def shown(self, piece: bytes) -> str:
         return piece.decode() if piece.isalpha() and piece.isascii() else "".join(self.table[list(piece)])
 
+    def marks(self, piece: bytes) -> bytes:
+        if piece not in self.met:
+            self.met[piece] = array("i", [t.id for t in self.tokenizer.model.tokenize(self.shown(piece))]).tobytes() if len(piece) < 4 else self.whole(piece)
+            if len(self.met) > 10_000:
+                return self.met.pop(piece)
+        return self.met[piece]
+
     def whole(self, data: bytes) -> bytes:
         return np.array(self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype=np.int32).tobytes()
 
     def __missing__(self, unit: bytes) -> bytes:
         simple = _SIMPLE.fullmatch(unit)
-        if simple:
-            found = [t.id for piece in simple.groups() if piece for t in self.tokenizer.model.tokenize(self.shown(piece))]
-            ids = array("i", found).tobytes()
-        else:
+        if simple is None:
             ids = self.whole(unit)
+        elif simple[1] == unit:
+            ids = array("i", [t.id for t in self.tokenizer.model.tokenize(self.shown(unit))]).tobytes()
+        else:  # words recur with other marks behind them
+            ids = b"".join([self.marks(piece) if k in (1, 2, 4) else self[piece] for k, piece in enumerate(simple.groups()) if piece])
         if len(unit) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
