@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, mixing, ngram_join, secrets, token_counts
-from .shared import read
+from . import bpe, chat, fingerprints, mixing, ngram_join, secrets, token_counts, toxicity
+from .learning import held_out
+from .shared import reachable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +17,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reachable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -127,3 +133,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_join_ngrams")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(read(spark, sf_dir, "documents"))
+
+
+@query("op9_score_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.with_scores(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")), "score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
