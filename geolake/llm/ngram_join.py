@@ -1,7 +1,7 @@
 """N-gram Jaccard join through prefix trees.
 
-1. Words are counted in a sketch of fixed size over all texts; the global order of shingles goes from those of rare words
-   to those of common ones, ties by hash.
+1. Words are counted in a sketch of fixed size over all texts; the global order of shingles goes by the count of their
+   rarest word, ties by hash.
 2. Texts with equal sets are one node. A set's front (by that order) is long enough that two sets that link share
    a shingle in their fronts. Shingles that stand in one front only can't join anything and go.
 3. A node's home is the first of its shared front shingles. A node visits the homes that its front leads to, each pair in
@@ -77,14 +77,14 @@ def shingle_set(hashes: np.ndarray, levels: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, dtype=np.int64)
     size = min(n, len(hashes))
     span = len(hashes) - size + 1
-    level, mixed = np.zeros(span, dtype=np.uint32), np.full(span, size, dtype=np.uint64)
+    # A shingle is at most as common as its rarest word.
+    level, mixed = np.full(span, 127, dtype=np.uint8), np.full(span, size, dtype=np.uint64)
     own = levels[hashes & (len(levels) - 1)]
     raw = hashes.view(np.uint64)
     for k in range(size):
-        level += own[k : k + span]
+        level = np.minimum(level, own[k : k + span])
         mixed = _mixed(mixed * np.uint64(3) + raw[k : k + span])
-    top = np.minimum(level * 3 // (2 * size), 127).astype(np.uint64)
-    return np.unique(((top << np.uint64(56)) | (mixed >> np.uint64(8))).view(np.int64))
+    return np.unique(((level.astype(np.uint64) << np.uint64(56)) | (mixed >> np.uint64(8))).view(np.int64))
 
 
 def set_name(own: np.ndarray) -> int:

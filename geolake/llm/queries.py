@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, mixing, ngram_join, secrets, token_counts, toxicity
+from . import bpe, chat, embeddings, fingerprints, mixing, ngram_join, quality, secrets, token_counts, toxicity
 from .learning import held_out
 from .shared import reachable, read
 
@@ -140,3 +140,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.with_scores(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")), "score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op6_near_embeddings")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op7_score_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_scores(docs, quality.learn(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
