@@ -73,10 +73,10 @@ class Scanner:
         if not len(hits):
             return []
         text = np.searchsorted(ends, hits, side="right")
-        idle = np.flatnonzero(states == 0)
-        before, after = np.searchsorted(idle, hits) - 1, np.searchsorted(idle, hits)
-        first = np.where(before >= 0, idle[np.maximum(before, 0)] + 1, 0)
-        last = np.where(after < len(idle), idle[np.minimum(after, len(idle) - 1)], len(data)) if len(idle) else np.full(len(hits), len(data))
+        # Idle places, with one before the first byte and one behind the last.
+        idle = np.concatenate(([-1], np.flatnonzero(states == 0), [len(data)]))
+        after = np.searchsorted(idle, hits)
+        first, last = idle[after - 1] + 1, idle[after]
         found = np.unique(np.column_stack([text, np.maximum(first, begins[text]) - begins[text], np.minimum(last, ends[text]) - begins[text]]), axis=0)
         return list(map(tuple, found.tolist()))
 
