@@ -8,8 +8,10 @@
    one direction, so texts that share much meet once and not once for each shingle.
 4. At each home a prefix tree holds the sets of the nodes at home, common shingles first. Every visitor walks it: overlaps
    are counted once for all sets below an edge, and a branch ends when the shingles left can't make the overlap that a link
-   needs, or when all below it is already joined to the visitor. Large homes are dealt out in parts.
-5. The links found make the components.
+   needs, or when all below it is already joined to the visitor.
+5. Large homes are dealt out in parts, their visitors in chunks. All visit the first part; a large group of near copies
+   is then joined already, and only nodes outside it meet the other parts.
+6. The links found make the components.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from .shared import lower_ascii, stored, words
 SHINGLE, PERCENT = 3, 90
 #: Counters of the word sketch (one byte each once combined), the blocks they travel in, nodes at home in one tree.
 CELLS, BLOCK, HOME = 1 << 22, 1 << 12, 256
+#: Visitors of one tree in one group.
+CHUNK = 1024
 #: Shingles of an edge that are compared before the bounds are looked at again.
 STEP = 64
 
@@ -182,12 +186,18 @@ def walk(tree: Tree, visitor: int, probe: np.ndarray, forest: Forest, percent: i
             stack += [(child, overlap, depth) for child in node.children]
 
 
-def join_at_home(sets: list[np.ndarray], at_home: list[bool], percent: int) -> list[tuple[int, int]]:
-    """(member, least joined position) of the sets that a walk through the tree of those at home joins."""
+def join_at_home(sets: list[np.ndarray], at_home: list[bool], percent: int, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """(member, least joined position) of the sets that a walk through the tree of those at home joins.
+
+    Sets of one ``known`` component are joined from the start.
+    """
     home = sorted((k for k in range(len(sets)) if at_home[k]), key=lambda k: sets[k].tolist(), reverse=True)
     if not home:
         return []
     tree, forest = Tree([sets[k] for k in home], home), Forest(len(sets))
+    first: dict[int, int] = {}
+    for k, component in enumerate(known or []):
+        forest.join(k, first.setdefault(component, k))
     # Large sets first, copies of one text stand near each other in size.
     for k in sorted(range(len(sets)), key=lambda k: -len(sets[k])):
         walk(tree, k, sets[k], forest, percent)
@@ -232,12 +242,13 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     visits = visits.groupBy("node", F.col("t_home").alias("place")).agg(F.first("home").alias("home"))
     visits = stored(visits.select("node", "place", (F.col("place") == F.col("home")).alias("at_home")), "visits")
 
-    # A home of many is dealt out in parts; everyone visits each part. Homes that hold and see one node are done.
+    # Homes that hold and see one node are done. The first part of each home meets every visitor.
     crowd = visits.groupBy("place").agg(F.count_if("at_home").alias("held"), F.count("*").alias("seen")).filter("seen > 1")
-    crowd = stored(crowd.select("place", F.ceil(F.col("held") / home).alias("parts")), "crowd")
-    dealt = visits.join(crowd, "place").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    dealt = dealt.withColumn("at_home", F.col("at_home") & (F.pmod(F.xxhash64("node"), F.col("parts")) == F.col("part")))
-    dealt = stored(dealt.select("node", "place", "part", "at_home"), "dealt")
+    crowd = stored(crowd.select("place", F.ceil(F.col("held") / home).alias("parts"), F.ceil(F.col("seen") / CHUNK).alias("chunks")), "crowd")
+    placed_part = F.when(F.col("at_home"), F.pmod(F.xxhash64("node"), F.col("parts")))
+    around = stored(visits.join(crowd, "place").withColumn("own", placed_part).drop("at_home"), "around")
+    opening = around.select("node", "place", F.when(F.col("own") == 0, F.lit(0)).cast("bigint").alias("own"), F.lit(1).cast("bigint").alias("parts"), "chunks", F.lit(True).alias("asks"))
+    dealt = stored(_deal(opening), "dealt")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,17 +259,22 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     # One document of a class gives its set; rows that share its doc_id fall out by the name of their own set.
     sample = every.join(asked, "node").filter("doc_id <=> least_id").select("node", "least_id").distinct()
     texts = docs.select("doc_id", "text").join(sample.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
-    sets = word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")
-    gathered = dealt.join(_true_sets(sets), "node")
+    sets = stored(_true_sets(word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")), "sets")
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_numpy()
+        nodes, known = table.column("node").to_numpy(), table.column("known").to_pylist()
         held = [s.values.to_numpy()[::-1] for s in table.column("shingles")]
-        pairs = join_at_home(held, table.column("at_home").to_pylist(), percent)
+        pairs = [(a, b) for a, b in join_at_home(held, table.column("at_home").to_pylist(), percent, known) if known[a] != known[b]]
         return pa.table({"a": pa.array([int(nodes[a]) for a, _ in pairs], type=pa.int64()), "b": pa.array([int(nodes[b]) for _, b in pairs], type=pa.int64())})
 
-    links = stored(gathered.groupBy("place", "part").applyInArrow(meet, "a bigint, b bigint"), "links")
-    rooted = stored(components(links), "rooted")
+    def met(rows: DataFrame, name: str) -> DataFrame:
+        return stored(rows.join(sets, "node").groupBy("place", "part", "chunk").applyInArrow(meet, "a bigint, b bigint"), name)
+
+    rooted = stored(components(met(dealt.withColumn("known", F.col("node")), "links")), "rooted")
+    rest = _rest(around.filter("parts > 1"), rooted, home)
+    if not rest.isEmpty():
+        later = met(rest, "later")
+        rooted = stored(components(later.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))), "joined")
     ids = classes.select("node", "least_id")
     least = rooted.join(ids, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = rooted.join(least, "root").select("node", "component_id")
@@ -269,6 +285,47 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _deal(rows: DataFrame) -> DataFrame:
+    """Rows (node, place, own: the part that holds it or null, parts, chunks, asks) as members of groups (place, part, chunk).
+
+    Who asks visits every part in its own chunk; who is held stands in each chunk of its part.
+    """
+    kept = [c for c in rows.columns if c not in ("own", "parts", "chunks", "asks")]
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    chunk = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks"))
+    held = rows.filter("own is not null").select(*kept, F.col("own").alias("part"), F.lit(True).alias("at_home"), upto("chunks").alias("chunk"))
+    asking = rows.filter("asks").select(*kept, "own", chunk.alias("chunk"), upto("parts").alias("part")).filter("own is null or own <> part")
+    return held.unionByName(asking.select(*kept, "part", F.lit(False).alias("at_home"), "chunk"))
+
+
+def _rest(around: DataFrame, rooted: DataFrame, home: int) -> DataFrame:
+    """What is left to compare at homes of several parts once all have met the first one.
+
+    The largest component at a home needs no comparison within: its other parts meet the nodes outside it,
+    and nodes outside it that are at home meet everyone.
+    """
+    roots = rooted.select(F.col("node").alias("r_node"), "root")
+    known = around.join(roots, F.col("node") == F.col("r_node"), "left").withColumn("known", F.coalesce("root", "node")).drop("r_node", "root")
+    known = stored(known, "known")
+    sizes = known.filter("own is not null").groupBy("place", "known").agg(F.count("*").alias("n"))
+    main = sizes.groupBy(F.col("place").alias("m_place")).agg(F.max_by("known", F.struct("n", "known")).alias("main"))
+    inside = known.join(main, F.col("place") == F.col("m_place")).withColumn("inside", F.col("known") == F.col("main")).drop("m_place", "main")
+    strays = inside.groupBy(F.col("place").alias("s_place")).agg(
+        F.count_if(~F.col("inside") & (F.col("own") > 0)).alias("loose"), F.count_if(~F.col("inside")).alias("outside"),
+        F.count_if(F.col("inside") & (F.col("own") > 0)).alias("tied"))
+    counted = stored(inside.join(strays, F.col("place") == F.col("s_place")).drop("s_place"), "counted")
+
+    loose = counted.filter("loose > 0").withColumn("parts", F.ceil(F.col("loose") / home))
+    loose = loose.withColumn("own", F.when(~F.col("inside") & (F.col("own") > 0), F.pmod(F.xxhash64("node"), F.col("parts"))))
+    tied = counted.filter("outside > 0 and tied > 0").filter("own > 0 or not inside")
+    tied = tied.withColumns({"own": F.when(F.col("inside"), F.col("own") - 1), "parts": F.col("parts") - 1, "chunks": F.ceil(F.col("outside") / CHUNK)})
+    columns = ["node", "place", "known", "own", "parts", "chunks"]
+    first = _deal(loose.select(*columns, F.lit(True).alias("asks")))
+    second = _deal(tied.select(*columns, (~F.col("inside")).alias("asks")))
+    # The two kinds of groups have numbers of their own.
+    return stored(first.unionByName(second.withColumn("part", -1 - F.col("part"))), "rest")
+
+
 def _true_sets(sets: DataFrame) -> DataFrame:
     """A doc_id that several rows share brings more than one text for a node; the text whose set it names stays."""
 
