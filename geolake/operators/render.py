@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom
-from .search import MAX_LIMIT
 
 # Media types of links.
 JSON, GEOJSON = "application/json", "application/geo+json"
@@ -104,11 +103,10 @@ def with_links(df: DataFrame, base_url: str, kind: str) -> DataFrame:
 
 
 def feature_collection(page: DataFrame, counts: DataFrame, base_url: str, order: Column | None = None) -> DataFrame:
-    """One document for one page of ``feature`` texts (a page has at most 100 rows)."""
+    """One document for one page of ``feature`` texts; the page is whole, its size is up to the search."""
     base = base_url.rstrip("/")
     rank = F.struct(order if order is not None else F.col("id"), F.col("feature"))
-    bounded = page.limit(MAX_LIMIT)
-    joined = bounded.agg(F.sort_array(F.collect_list(rank)).alias("r"), F.count("*").alias("returned"))
+    joined = page.agg(F.sort_array(F.collect_list(rank)).alias("r"), F.count("*").alias("returned"))
     features = F.array_join(F.transform("r", lambda x: x["feature"]), ",")
     links = F.to_json(F.array(_link("self", GEOJSON, f"{base}/search"), _link("root", JSON, f"{base}/")))
     matched = counts.select("matched").scalar()

@@ -94,7 +94,8 @@ def nearest_join(
     found = met.groupBy("X", "Y").agg(
         F.min(F.struct((dx * dx + dy * dy).alias("d"), "_gx", "_gy", "p")).alias("_n")
     )
-    return left.join(found, ["X", "Y"]).select(
+    # Left rows without a place, or without any right row, keep nulls.
+    return left.join(found, ["X", "Y"], "left").select(
         *columns,
         F.sqrt("_n.d").alias("distance"),
         *(F.col(f"_n.p.{c}").alias(f"{c}{suffix}") for c in payload),

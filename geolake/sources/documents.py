@@ -176,13 +176,18 @@ def infer_collection(items: DataFrame, collections: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document per (type, collection, id): originals before conflict copies, then by path.
 
+    An item that names no collection goes by its folder's parent, where its collection is looked for. Documents
+    without an id are all kept.
+
     The winner is a partially aggregated minimum of short keys; the documents themselves are
     only touched by the semi join, so many copies of one document do not meet in one task.
     """
     d = F.from_json("doc", "id string, collection string")
     keyed = docs.withColumn("_d", d)
     rank = F.struct(F.col("path").contains(CONFLICT_MARK).alias("copy"), F.length("path").alias("n"), F.col("path").alias("path"))
-    best = keyed.groupBy("type", F.col("_d.collection"), F.col("_d.id")).agg(F.min(rank).alias("_b"))
+    home = F.coalesce("_d.collection", F.when(F.col("type") == "Feature", F.concat(F.lit("/"), text.parent(text.parent(F.col("path"))))))
+    unnamed = F.when(F.col("_d.id").isNull(), F.col("path"))
+    best = keyed.groupBy("type", home, F.col("_d.id"), unnamed).agg(F.min(rank).alias("_b"))
     return docs.join(best.select(F.col("_b.path").alias("path")), "path", "left_semi")
 
 

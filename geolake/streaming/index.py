@@ -74,22 +74,29 @@ def _point(spark: SparkSession, index_dir: str, state: dict) -> None:
     files.write_small(spark, f"{index_dir}/current", json.dumps(state))
 
 
-def append_changes(changes: DataFrame, batch: int, index_dir: str) -> None:
-    """Make one batch of changes visible."""
+def append_changes(changes: DataFrame, batch: int, index_dir: str, source: str = "changes") -> None:
+    """Make one batch of changes visible, once: batches are numbered within their ``source``."""
     spark = changes.sparkSession
     state = _pointer(spark, index_dir)
-    if batch <= state["last"]:
+    seen = state.get("seen", {})
+    if batch <= seen.get(source, -1):
         return
-    changes.select("key", "event", "event_time", "doc").write.mode("overwrite").parquet(f"{index_dir}/log/batch={batch}")
-    _point(spark, index_dir, {**state, "last": batch})
+    place = state["last"] + 1
+    changes.select("key", "event", "event_time", "doc").write.mode("overwrite").parquet(f"{index_dir}/log/batch={place}")
+    _point(spark, index_dir, {**state, "last": place, "seen": {**seen, source: batch}})
 
 
 def upsert_index(stream: DataFrame, index_dir: str, checkpoint: str):
-    """Start a query that feeds the log with everything available, then stops."""
-    return (
-        stream.writeStream.foreachBatch(lambda df, batch: append_changes(df, batch, index_dir))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    """Start a query that feeds the log with everything available, then stops.
+
+    A checkpoint names its query; a new one counts its batches anew. One query at a time writes to an index.
+    """
+
+    def append(df: DataFrame, batch: int) -> None:
+        named = files.read_small(df.sparkSession, f"{checkpoint}/metadata")
+        append_changes(df, batch, index_dir, json.loads(named)["id"])
+
+    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current_changes(spark: SparkSession, index_dir: str) -> DataFrame:
@@ -119,7 +126,7 @@ def compact(spark: SparkSession, index_dir: str) -> None:
     name = f"base-{state['last'] + 1}"
     live = latest(current_changes(spark, index_dir)).filter(F.startswith(F.col("event"), F.lit(CREATED)))
     live.select("key", "event", "event_time", "doc").write.mode("overwrite").parquet(f"{index_dir}/{name}")
-    _point(spark, index_dir, {"base": name, "first": state["last"] + 1, "last": state["last"]})
+    _point(spark, index_dir, {**state, "base": name, "first": state["last"] + 1})
 
 
 def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json", ending: str = ".json") -> None:
@@ -135,7 +142,7 @@ def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json"
     ), "key", ending=ending)
     name = f"base-{state['last'] + 1}-full"
     rows.write.mode("overwrite").parquet(f"{index_dir}/{name}")
-    _point(spark, index_dir, {"base": name, "first": state["last"] + 1, "last": state["last"]})
+    _point(spark, index_dir, {**state, "base": name, "first": state["last"] + 1})
 
 
 def index_health(items: DataFrame, collections: DataFrame, time: Column | None = None) -> DataFrame:

@@ -200,7 +200,8 @@ def test_nearest_against_brute_force(spark, leaf):
 
 
 def test_nearest_without_ground(spark):
-    assert heights.building_heights(cloud(spark, [(0.0, 0.0, 1.0, 6)])).count() == 0
+    (row,) = heights.building_heights(cloud(spark, [(0.0, 0.0, 1.0, 6)])).collect()
+    assert row.distance is None and row.height is None
 
 
 def test_points_in_areas(spark):
@@ -400,3 +401,29 @@ def test_neighbourhood_shuffles_cells_once(spark):
     near = terrain.neighbourhood(spark.read.parquet(path), header_of(spark, grid))
     near.collect()
     assert plan(near).split("Initial Plan")[0].count("Exchange hashpartitioning(raster_id") <= 2
+
+
+def test_items_of_two_collections_share_an_id(spark):
+    item = '{"type":"Feature","id":"t1","properties":{}}'
+    rows = [(f"{c}/t1/t1.json", item) for c in "ab"] + [("a/t1/t1 (conflicted copy).json", item)]
+    rows += [(f"{c}/collection.json", '{"type":"Collection","id":"%s"}' % c) for c in "ab"]
+    rows += [(f"n/{k}/{k}.json", '{"type":"Feature","properties":{}}') for k in "xy"]
+    docs = spark.createDataFrame(rows, "path string, doc string").withColumn("type", documents.document_type(F.col("doc")))
+    kept = documents.keep_one(docs).select("path").collect()
+    assert {"a/t1/t1.json", "b/t1/t1.json", "n/x/x.json", "n/y/y.json"} <= {r.path for r in kept}
+
+
+def test_large_page_is_whole(spark):
+    from geolake.operators import render
+
+    page = spark.range(250).select(F.col("id").cast("string").alias("id"), F.format_string('{"id":"%d"}', F.col("id")).alias("feature"))
+    row = render.feature_collection(page, spark.range(250).agg(F.count("*").alias("matched")), "http://x").first()
+    assert row.returned == 250 and row.document.count('"id"') == 250
+
+
+def test_batches_of_two_sources(spark, tmp_path):
+    change = lambda key: spark.createDataFrame([(key, "ObjectCreated:Put", None, "{}")], index.CHANGES)
+    root = f"{tmp_path}/two"
+    for source in ("one", "two", "one"):
+        index.append_changes(change(source), 0, root, source)
+    assert sorted(r.path for r in index.current_documents(spark, root).collect()) == ["one", "two"]
