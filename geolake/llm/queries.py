@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, fingerprints, mixing, ngram_join, quality, secrets, token_counts, toxicity
+from . import bpe, chat, embeddings, filter_audit, fingerprints, mixing, ngram_join, quality, secrets, token_counts, toxicity
 from .learning import held_out
 from .shared import reachable, read
 
@@ -152,3 +152,39 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.with_scores(docs, quality.learn(docs, read(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS failed FROM texts),
+sets AS (
+  SELECT part, failed, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+  FROM flags LEFT JOIN marks USING (doc_id) GROUP BY part, failed),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, bit)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, coalesce(list_sum(bits[1:step - 1]), 0) AS earlier, bits[step] AS own
+  FROM orders, LATERAL (SELECT unnest([1, 2, 3, 4, 5]) AS step))
+SELECT part, filter_order, step,
+  CAST(sum(CASE WHEN failed & CAST(earlier + own AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN failed & own <> 0 AND failed & CAST(earlier AS INTEGER) = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN failed & own <> 0 AND failed & CAST(earlier AS INTEGER) <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN failed = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN failed & own <> 0 AND failed & CAST(earlier AS INTEGER) = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN failed & own <> 0 AND failed & CAST(earlier AS INTEGER) = 0 THEN bad ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(sum(sum(CASE WHEN failed & own <> 0 AND failed & CAST(earlier AS INTEGER) = 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM sets, steps GROUP BY part, filter_order, step, own
+"""
+
+
+@query("op12_audit_filters", AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
