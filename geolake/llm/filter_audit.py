@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .coding import Codes, packed, unpacked
 from .shared import stored
 
 #: Filters in the order of their bits: length, variety, capitals, symbols, copies.
@@ -39,25 +40,6 @@ MATRIX = (
 )
 
 
-class _Codes(dict):
-    """Numbers words in the order in which they are first met."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
-def _packed(values: np.ndarray) -> tuple[bytes, int]:
-    """Unsigned numbers in as few bytes each as hold the largest, and that number of bytes."""
-    most = int(values.max()) if len(values) else 0
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
-    return values.astype(kind).tobytes(), np.dtype(kind).itemsize
-
-
-def _unpacked(data: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{width}").astype(np.int64)
-
-
 def characters_failed(text: bytes) -> int:
     """Bits of the capitals and the symbols filter."""
     points = len(text.translate(None, CONTINUATION))
@@ -78,12 +60,12 @@ def shards(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
             ("failed", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())), ("columns", pa.binary()), ("wide", pa.int32()),
             ("counts", pa.binary()), ("counted", pa.int32()), ("words", pa.list_(pa.binary()))])
         number = TaskContext.get().partitionId() << 32
-        codes, rows, columns, counts, held = _Codes(), [], [], [], 0
+        codes, rows, columns, counts, held = Codes(), [], [], [], 0
 
         def shard() -> pa.RecordBatch:
             doc_id, part, digest, failed = (list(c) for c in zip(*rows))
             starts = np.concatenate([[0], np.cumsum([len(c) for c in columns])])
-            (where, wide), (often, counted) = _packed(np.concatenate(columns)), _packed(np.concatenate(counts))
+            (where, wide), (often, counted) = packed(np.concatenate(columns)), packed(np.concatenate(counts))
             row = (number, doc_id, part, digest, failed, starts, where, wide, often, counted, list(codes))
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
 
@@ -98,7 +80,7 @@ def shards(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
                 if held >= entries:
                     yield shard()
                     number += 1
-                    codes, rows, columns, counts, held = _Codes(), [], [], [], 0
+                    codes, rows, columns, counts, held = Codes(), [], [], [], 0
         if rows:
             yield shard()
 
@@ -134,8 +116,8 @@ def matrix(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
                 ids = row.column("ids")[0].values
                 ids = np.zeros(0, np.int64) if ids is None else ids.to_numpy()
                 starts = row.column("starts")[0].values.to_numpy()
-                columns = ids[_unpacked(row.column("columns")[0].as_py(), row.column("wide")[0].as_py())]
-                counts = _unpacked(row.column("counts")[0].as_py(), row.column("counted")[0].as_py())
+                columns = ids[unpacked(row.column("columns")[0].as_py(), row.column("wide")[0].as_py())]
+                counts = unpacked(row.column("counts")[0].as_py(), row.column("counted")[0].as_py())
                 order = np.lexsort((columns, np.repeat(np.arange(len(starts) - 1), np.diff(starts))))
                 kept = [row.column(c) for c in ("shard", "doc_id", "part", "digest", "failed", "starts")]
                 lists = [pa.array([v[order]], type=pa.list_(pa.int64())) for v in (columns, counts)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, filter_audit, fingerprints, mixing, ngram_join, quality, secrets, token_counts, toxicity
+from . import bpe, chat, embeddings, filter_audit, fingerprints, mixing, ngram_join, quality, repeats, secrets, token_counts, toxicity
 from .learning import held_out
 from .shared import reachable, read
 
@@ -188,3 +188,26 @@ FROM sets, steps GROUP BY part, filter_order, step, own
 @query("op12_audit_filters", AUDIT_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+REPEATS_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, p, md5(array_to_string(w[p:p + 34], ' ')) AS words
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 33, 1))) AS p FROM texts)),
+twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY words) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT r, list_sort(list(DISTINCT i)) AS gone FROM (SELECT r, unnest(range(p, p + 35)) AS i FROM twice) GROUP BY r),
+left_over AS (
+  SELECT t.r, string_agg(t.word, ' ' ORDER BY t.i) AS kept
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts) t
+  LEFT JOIN (SELECT r, unnest(gone) AS i FROM gone) g ON t.r = g.r AND t.i = g.i WHERE g.i IS NULL GROUP BY t.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (r) LEFT JOIN left_over USING (r)
+"""
+
+
+@query("op13_cut_repeats", REPEATS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
