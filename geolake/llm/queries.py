@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, filter_audit, fingerprints, mixing, ngram_join, quality, repeats, secrets, token_counts, toxicity
+from . import bpe, chat, codes, embeddings, filter_audit, fingerprints, mixing, ngram_join, quality, repeats, secrets, token_counts, toxicity
 from .learning import held_out
 from .shared import reachable, read
 
@@ -211,3 +211,32 @@ FROM texts LEFT JOIN gone USING (r) LEFT JOIN left_over USING (r)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.without_repeats(read(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+CODES_SQL = r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT vec_id, label, p, v[p * 4 + 1:p * 4 + 4] AS x FROM kept, (SELECT unnest(range(0, 16)) AS p)),
+c0 AS (SELECT p, e, x FROM cut JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)),
+a0 AS (SELECT vec_id, p, min(struct_pack(d := (a.x[1]-c.x[1])**2 + (a.x[2]-c.x[2])**2 + (a.x[3]-c.x[3])**2 + (a.x[4]-c.x[4])**2, e := e)) AS n, any_value(a.x) AS x
+       FROM cut a JOIN c0 c USING (p) GROUP BY vec_id, p),
+c1 AS (SELECT p, e, coalesce(s.x, c0.x) AS x FROM c0 LEFT JOIN (
+         SELECT p, n.e AS e, [CAST(floor(sum(x[1]) / count(*)) AS BIGINT), CAST(floor(sum(x[2]) / count(*)) AS BIGINT), CAST(floor(sum(x[3]) / count(*)) AS BIGINT), CAST(floor(sum(x[4]) / count(*)) AS BIGINT)] AS x
+         FROM a0 GROUP BY ALL) s USING (p, e)),
+a1 AS (SELECT vec_id, p, min(struct_pack(d := (a.x[1]-c.x[1])**2 + (a.x[2]-c.x[2])**2 + (a.x[3]-c.x[3])**2 + (a.x[4]-c.x[4])**2, e := e)) AS n, any_value(a.x) AS x
+       FROM cut a JOIN c1 c USING (p) GROUP BY vec_id, p),
+c2 AS (SELECT p, e, coalesce(s.x, c1.x) AS x FROM c1 LEFT JOIN (
+         SELECT p, n.e AS e, [CAST(floor(sum(x[1]) / count(*)) AS BIGINT), CAST(floor(sum(x[2]) / count(*)) AS BIGINT), CAST(floor(sum(x[3]) / count(*)) AS BIGINT), CAST(floor(sum(x[4]) / count(*)) AS BIGINT)] AS x
+         FROM a1 GROUP BY ALL) s USING (p, e)),
+a2 AS (SELECT vec_id, label, p, min(struct_pack(d := (a.x[1]-c.x[1])**2 + (a.x[2]-c.x[2])**2 + (a.x[3]-c.x[3])**2 + (a.x[4]-c.x[4])**2, e := e)) AS n
+       FROM cut a JOIN c2 c USING (p) GROUP BY vec_id, label, p),
+codes AS (SELECT vec_id, label, string_agg(printf('%02x', n.e), '' ORDER BY p) AS code, CAST(sum(n.d) AS BIGINT) AS error FROM a2 GROUP BY vec_id, label),
+digest AS (SELECT sha256(string_agg(x[1] || ',' || x[2] || ',' || x[3] || ',' || x[4], ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM codes, digest
+"""
+
+
+@query("op11_code_vectors", CODES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(read(spark, sf_dir, "embeddings"))
