@@ -48,11 +48,11 @@ def elevated(heights: DataFrame, limit: float = TALL) -> DataFrame:
     )
 
 
-def building_heights(points: DataFrame, leaf: float = 0.5) -> DataFrame:
+def building_heights(points: DataFrame) -> DataFrame:
     """Height of every building point over its nearest ground point."""
     ground = points.filter(F.col("Classification") == GROUND).select("X", "Y", "Z")
     building = points.filter(F.col("Classification") == BUILDING)
-    near = nearest_join(building, ground, ["Z"], leaf)
+    near = nearest_join(building, ground, ["Z"])
     return near.withColumn("height", F.col("Z") - F.col("Z_near"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import crs, text
+from ..session import written
 
 STAT_DIMENSIONS = (
     "X", "Y", "Z", "Intensity", "ReturnNumber", "NumberOfReturns", "Classification",
@@ -195,6 +196,94 @@ def hex_boundary(hexes: DataFrame, edge: float = 10.0, by: Sequence[str] = ()) -
     return outer.select(*by, "q", "r", "side", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
 
+#: Corner of a hexagon before each side, against the clock, in steps of half a width and half an edge from its centre.
+_CORNERS = ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2))
+
+
+def hex_rings(hexes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Closed rings around occupied hexagons: by, first_u, first_v, edges, area2, hole, corners.
+
+    Corners are whole numbers: u in halves of a hexagon's width, v in halves of its edge. Each side that no occupied hexagon
+    shares leads from a corner to the next with the occupied one on its left, and exactly one such side leaves a corner, so
+    sides chain into rings: outer ones run against the clock, holes with it. Pointer jumping finds each ring's least
+    corner and how far away it is, in as many rounds as the logarithm of the longest ring; ``corners`` begin and end there.
+    """
+    keys = list(by)
+    sides = F.array(*(F.struct(
+        (F.col("q") + dq).alias("nq"), (F.col("r") + dr).alias("nr"),
+        *((base + step).alias(n) for n, base, step in (
+            ("su", 2 * F.col("q") + F.col("r"), _CORNERS[k][0]), ("sv", 3 * F.col("r"), _CORNERS[k][1]),
+            ("eu", 2 * F.col("q") + F.col("r"), _CORNERS[(k + 1) % 6][0]), ("ev", 3 * F.col("r"), _CORNERS[(k + 1) % 6][1]))),
+        F.lit(k).alias("side"),
+    ) for k, (dq, dr) in enumerate(HEX_NEIGHBOURS)))
+    taken = hexes.select(*keys, F.col("q").alias("nq"), F.col("r").alias("nr"))
+    outer = hexes.select(*keys, "r", F.inline(sides)).join(taken, [*keys, "nq", "nr"], "left_anti")
+    edges = written(outer.select(*keys, "su", "sv", "eu", "ev", "side", "r"), "edges")
+    # (u, v): the corner that 2^k steps lead to; best: the least corner on the way, and after how many steps it comes.
+    state = edges.select(*keys, "su", "sv", F.col("eu").alias("u"), F.col("ev").alias("v"), F.struct(F.col("su").alias("u"), F.col("sv").alias("v"), F.lit(0).cast("bigint").alias("d")).alias("best"))
+    reach, before = 1, None
+    while True:
+        ahead = state.select(*keys, F.col("su").alias("u"), F.col("sv").alias("v"), F.col("u").alias("_u"), F.col("v").alias("_v"), F.col("best").alias("_best"))
+        further = F.struct(F.col("_best.u").alias("u"), F.col("_best.v").alias("v"), (F.col("_best.d") + reach).alias("d"))
+        state = written(state.join(ahead, [*keys, "u", "v"]).select(
+            *keys, "su", "sv", F.col("_u").alias("u"), F.col("_v").alias("v"), F.least("best", further).alias("best")), "jump")
+        now = state.agg(F.sum(F.xxhash64("su", "sv", "best.u", "best.v").cast("decimal(38,0)"))).first()[0]
+        if now == before:
+            break
+        before, reach = now, reach * 2
+    ring = [F.col("best.u").alias("first_u"), F.col("best.v").alias("first_v")]
+    placed = edges.join(state.select(*keys, "su", "sv", "best"), [*keys, "su", "sv"])
+    # From the least corner on, the way to it grows shorter; at the corner itself it is none.
+    order = F.when(F.col("best.d") == 0, F.lit(-(1 << 62))).otherwise(-F.col("best.d"))
+    rings = placed.groupBy(*keys, *ring).agg(
+        F.count("*").alias("edges"), F.sum(F.col("su") * F.col("ev") - F.col("eu") * F.col("sv")).alias("area2"),
+        F.sort_array(F.collect_list(F.struct(order.alias("o"), F.col("su").alias("u"), F.col("sv").alias("v")))).alias("_c"),
+        F.min(F.when(F.col("side") % 3 == 0, F.struct("su", "r", "side"))).alias("west"),
+    )
+    corners = F.transform(F.concat("_c", F.slice("_c", 1, 1)), lambda c: F.struct(c["u"].alias("u"), c["v"].alias("v")))
+    return rings.select(*keys, "first_u", "first_v", "edges", "area2", (F.col("area2") < 0).alias("hole"), corners.alias("corners"), "west")
+
+
+def hex_polygons(rings: DataFrame, edge: float = 10.0, by: Sequence[str] = ()) -> DataFrame:
+    """Polygons with their holes: by, first_u, first_v, holes, area, wkt.
+
+    The hexagon west of a hole's westernmost side belongs to the same piece as the hole. West of it in its row lies a side
+    facing west, on the piece's outer ring or on another hole of it that begins further west; so following such sides leads
+    from hole to hole to the outer ring.
+    """
+    keys = list(by)
+    upright = rings.withColumn("_i", F.explode(F.sequence(F.lit(1), F.size("corners") - 1))).select(
+        *keys, "first_u", "first_v", F.col("corners")[F.col("_i") - 1].alias("a"), F.col("corners")[F.col("_i")].alias("b"))
+    upright = upright.filter(F.col("a.u") == F.col("b.u")).select(
+        *keys, "first_u", "first_v", F.col("a.u").alias("u"), F.least("a.v", "b.v").alias("v"))
+    here = F.struct("first_u", "first_v")
+    west = F.lag(here).over(Window.partitionBy(*keys, "v").orderBy("u"))
+    beside = upright.withColumn("_west", west)
+    hole = rings.filter("hole").select(*keys, "first_u", "first_v", F.col("west.su").alias("u"), (F.col("west.r") * 3 - 1).alias("v"))
+    links = beside.join(hole, [*keys, "first_u", "first_v", "u", "v"]).select(
+        *keys, here.alias("ring"), F.col("_west").alias("to"))
+    outer = rings.filter("NOT hole").select(*keys, here.alias("ring"))
+    chain = written(links.unionByName(outer.withColumn("to", F.col("ring"))), "holes")
+    while True:
+        nexts = chain.select(*keys, F.col("ring").alias("to"), F.col("to").alias("_to"))
+        longer = written(chain.join(nexts, [*keys, "to"]).select(*keys, "ring", F.col("_to").alias("to"), (F.col("_to") != F.col("to")).alias("moved")), "holes")
+        chain = longer.drop("moved")
+        if longer.filter("moved").isEmpty():
+            break
+
+    def number(v: Column) -> Column:
+        return F.round(v, 6).cast("string")
+
+    half = edge * math.sqrt(3) / 2
+    text = F.concat(F.lit("("), F.array_join(F.transform("corners", lambda c: F.concat_ws(" ", number(c["u"] * half), number(c["v"] * (edge / 2)))), ", "), F.lit(")"))
+    told = rings.select(*keys, here.alias("ring"), "hole", text.alias("text"), "area2").join(chain, [*keys, "ring"])
+    parts = F.sort_array(F.collect_list(F.struct("hole", "ring", "text")))
+    shapes = told.groupBy(*keys, "to").agg(
+        F.count_if("hole").alias("holes"), (F.sum("area2") * (half * edge / 4)).alias("area"), parts.alias("_p"))
+    wkt = F.concat(F.lit("POLYGON ("), F.array_join(F.col("_p.text"), ", "), F.lit(")"))
+    return shapes.select(*keys, F.col("to.first_u").alias("first_u"), F.col("to.first_v").alias("first_v"), "holes", "area", wkt.alias("wkt"))
+
+
 # --- first N, samples, thinning ---------------------------------------------------------
 
 
@@ -216,16 +305,27 @@ def points_to_json(
     return inside.select(F.to_json(F.struct(*fields)).alias("point"))
 
 
-def sample_points(points: DataFrame, n: int = 50000, seed: int = 0) -> DataFrame:
+#: Copies of a row that one task numbers.
+COPIES = 10000
+
+
+def sample_points(points: DataFrame, n: int = 50000, seed: int = 0, name: Column | None = None) -> DataFrame:
     """Repeatable random sample without replacement of at most ``n`` points.
 
-    Every row gets a hash; the n smallest win. A histogram over the hash range first finds
-    a cut that keeps just over n rows, so the final top-n never funnels n rows from every
-    task into one.
+    Every point has a hash of its ``name`` (a text; by default all its columns), its number among equal rows and the seed, and
+    the n smallest win; so equal rows are drawn one by one. They are counted first and numbered in runs, so no task holds
+    all copies of a row. A histogram over the hash range finds a cut that keeps just over n points, so the final top-n
+    never funnels n rows from every task into one.
     """
-    hashed = points.withColumn("_h", F.xxhash64(*points.columns, F.lit(seed)))
-    buckets = 65536
-    hashed = hashed.withColumn("_b", F.shiftright("_h", 48) + buckets // 2)
+    columns = points.columns
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if name is None else name
+    counted = points.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES).cast("int"))))
+    first = F.col("_run").cast("bigint") * COPIES + 1
+    # Only where rows repeat very often are there several runs to spread.
+    numbered = runs.hint("rebalance", *columns, "_run").withColumn("_k", F.explode(F.sequence(first, F.least(first + COPIES - 1, F.col("_copies")))))
+    hashed = numbered.withColumn("_h", F.md5(F.concat_ws("|", text, F.col("_k").cast("string"), F.lit(str(seed)))))
+    hashed = hashed.withColumn("_b", F.substring("_h", 1, 4))
     histogram = hashed.groupBy("_b").agg(F.count("*").alias("_n"))
     # at most 65,536 rows, whatever the table holds
     running = F.sum("_n").over(Window.orderBy("_b"))
@@ -235,7 +335,7 @@ def sample_points(points: DataFrame, n: int = 50000, seed: int = 0) -> DataFrame
         .agg(F.max("_b").alias("_cut"))
         .scalar()
     )
-    return hashed.filter(F.col("_b") <= cut).orderBy("_h").limit(n).drop("_h", "_b")
+    return hashed.filter(F.col("_b") <= cut).orderBy("_h", *columns).limit(n).select(*columns)
 
 
 def assign_lod(

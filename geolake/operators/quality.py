@@ -72,6 +72,24 @@ def link_integrity(docs: DataFrame, edges: DataFrame, follow: Sequence[str] = ("
     return lost.withColumn("problem", F.lit("unreachable")).unionByName(broken.withColumn("problem", F.lit("dangling")))
 
 
+def _other_shape(geometry: Column) -> Column:
+    """A well-formed geometry of a kind that index rows do not hold: lines, several points, collections."""
+    places = F.get_json_object(geometry, "$.coordinates")
+
+    def vertices(line: Column, least: int) -> Column:
+        return (F.size(line) >= least) & F.forall(line, lambda v: (F.size(v) >= 2) & F.forall(v, lambda x: x.isNotNull()))
+
+    line = F.from_json(places, "array<array<double>>")
+    lines = F.from_json(places, "array<array<array<double>>>")
+    sound = (
+        F.when(F.get_json_object(geometry, "$.type") == "LineString", vertices(line, 2))
+        .when(F.get_json_object(geometry, "$.type") == "MultiPoint", vertices(line, 0))
+        .when(F.get_json_object(geometry, "$.type") == "MultiLineString", F.forall(lines, lambda v: vertices(v, 2)))
+        .when(F.get_json_object(geometry, "$.type") == "GeometryCollection", F.get_json_object(geometry, "$.geometries").startswith("["))
+    )
+    return F.coalesce(sound, F.lit(False))
+
+
 def validate_structure(docs: DataFrame) -> DataFrame:
     """Declared rules per document kind -> one row per broken rule."""
     d = docs.withColumn("_i", F.from_json("doc", schemas.ITEM)).withColumn("_c", F.from_json("doc", schemas.COLLECTION))
@@ -90,7 +108,7 @@ def validate_structure(docs: DataFrame) -> DataFrame:
         ("missing_links", known & F.col("_i.links").isNull(), "links"),
         ("bad_bbox", item & F.col("_i.bbox").isNotNull() & ~F.coalesce(F.size(box).isin(4, 6), F.lit(False)), "bbox"),
         ("missing_bbox", item & said & F.col("_i.bbox").isNull(), "bbox"),
-        ("bad_geometry", item & said & shape.isNull(), "geometry"),
+        ("bad_geometry", item & said & shape.isNull() & ~_other_shape(F.col("_i.geometry")), "geometry"),
         ("missing_datetime", item & when.isNull(), "datetime"),
         ("bad_datetime", item & when.isNotNull() & F.try_to_timestamp(when).isNull(), "datetime"),
         ("missing_assets", item & F.col("_i.assets").isNull(), "assets"),

@@ -9,7 +9,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import crs, text
@@ -61,7 +61,7 @@ def cell_area(header: DataFrame) -> DataFrame:
 
 
 def _product(kind: str) -> tuple[Column, Column | None]:
-    """Aggregate and point filter of a product."""
+    """What a product aggregates and which points it takes."""
     if kind in ("dem", "dsm"):
         return F.max("Z"), None
     if kind == "dtm":
@@ -75,6 +75,39 @@ def _product(kind: str) -> tuple[Column, Column | None]:
     raise ValueError(f"unknown raster kind {kind!r}")
 
 
+def _in_cells(
+    points: DataFrame, grid: DataFrame, resolution: float, by: str | None, mode: str
+) -> DataFrame:
+    """Points once for every cell they count for, with ``raster_id``, ``row`` and ``col``."""
+    if by is None:
+        one = grid.select(F.struct("raster_id", "minx", "miny", "width", "height").alias("g")).scalar()
+        located = points.withColumn("_g", one)
+    else:
+        joined = grid.select(
+            F.col("raster_id").alias(by), F.struct("raster_id", "minx", "miny", "width", "height").alias("_g")
+        )
+        located = points.join(joined, by)
+    fx = (F.col("X") - F.col("_g.minx")) / resolution
+    fy = (F.col("Y") - F.col("_g.miny")) / resolution
+    column, south_row = F.floor(fx + 0.5).cast("int"), F.floor(fy + 0.5).cast("int")
+    if mode == "bin":
+        located = located.withColumns({"col": column, "_srow": south_row})
+    elif mode == "radius":
+        # A point is within half a cell of its own centre, so centres two cells off are out of reach.
+        located = located.withColumns({"_dx": fx - column, "_dy": fy - south_row, "_c": column, "_r": south_row})
+        around = F.array(*(F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"),
+            ((i - F.col("_dx")) * (i - F.col("_dx")) + (j - F.col("_dy")) * (j - F.col("_dy"))).alias("d"),
+        ) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+        located = located.select("*", F.inline(around)).filter(F.col("d") <= 2.0 + 1e-9)
+        located = located.withColumns({"col": F.col("_c") + F.col("i"), "_srow": F.col("_r") + F.col("j")})
+    else:
+        raise ValueError("mode must be 'bin' or 'radius'")
+    row = F.col("_g.height") - 1 - F.col("_srow")
+    inside = (F.col("col") >= 0) & (F.col("col") < F.col("_g.width")) & (row >= 0) & (F.col("_srow") >= 0)
+    return located.filter(inside).withColumns({"raster_id": F.col("_g.raster_id"), "row": row})
+
+
 def rasterize(
     points: DataFrame,
     kind: str,
@@ -97,40 +130,33 @@ def rasterize(
     aggregate, wanted = _product(kind)
     grid = raster_header(points, resolution, by) if header is None else header
     chosen = points if wanted is None else points.filter(wanted)
-    if by is None:
-        one = grid.select(F.struct("raster_id", "minx", "miny", "width", "height").alias("g")).scalar()
-        located = chosen.withColumn("_g", one)
-    else:
-        joined = grid.select(
-            F.col("raster_id").alias(by), F.struct("raster_id", "minx", "miny", "width", "height").alias("_g")
-        )
-        located = chosen.join(joined, by)
-    fx = (F.col("X") - F.col("_g.minx")) / resolution
-    fy = (F.col("Y") - F.col("_g.miny")) / resolution
-    column, south_row = F.floor(fx + 0.5).cast("int"), F.floor(fy + 0.5).cast("int")
-    if mode == "bin":
-        located = located.withColumns({"col": column, "_srow": south_row})
-    elif mode == "radius":
-        # centre offsets: columns within sqrt(2) cells, then for each the rows the circle spans
-        reach = 2.0 + 1e-9
-        located = located.withColumns({"_dx": fx - column, "_dy": fy - south_row, "_c": column, "_r": south_row})
-        located = located.withColumn("_i", F.explode(F.sequence(
-            F.ceil(F.col("_dx") - reach**0.5).cast("int"), F.floor(F.col("_dx") + reach**0.5).cast("int")
-        )))
-        across = F.col("_i") - F.col("_dx")
-        located = located.withColumn("_s", F.sqrt(F.greatest(F.lit(reach) - across * across, F.lit(0.0))))
-        low, high = F.ceil(F.col("_dy") - F.col("_s")).cast("int"), F.floor(F.col("_dy") + F.col("_s")).cast("int")
-        located = located.filter(low <= high).withColumn("_j", F.explode(F.sequence(low, high)))
-        located = located.withColumns({"col": F.col("_c") + F.col("_i"), "_srow": F.col("_r") + F.col("_j")})
-    else:
-        raise ValueError("mode must be 'bin' or 'radius'")
-    row = F.col("_g.height") - 1 - F.col("_srow")
-    inside = (F.col("col") >= 0) & (F.col("col") < F.col("_g.width")) & (row >= 0) & (F.col("_srow") >= 0)
-    return (
-        located.filter(inside)
-        .groupBy(F.col("_g.raster_id").alias("raster_id"), row.alias("row"), F.col("col"))
-        .agg(aggregate.alias("value"))
-    )
+    return _in_cells(chosen, grid, resolution, by, mode).groupBy("raster_id", "row", "col").agg(aggregate.alias("value"))
+
+
+def rasterize_products(
+    points: DataFrame,
+    kinds: Sequence[str],
+    resolution: float,
+    by: str | None = None,
+    mode: str = "bin",
+    header: DataFrame | None = None,
+) -> DataFrame:
+    """Several products of one grid, a column each, as ``rasterize`` makes them one by one.
+
+    Points are placed in cells once for all of them. A product without any point in a cell is NULL there.
+    """
+    def value(kind: str) -> Column:
+        _, wanted = _product(kind)
+        chosen = F.lit(True) if wanted is None else wanted
+        if kind == "density":
+            return F.count_if(chosen).cast("double")
+        if kind in ("dem", "dsm"):
+            return F.max(F.when(chosen, F.col("Z")))
+        return F.avg(F.when(chosen, F.col("Intensity" if kind == "intensity" else "Z")))
+
+    grid = raster_header(points, resolution, by) if header is None else header
+    placed = _in_cells(points, grid, resolution, by, mode)
+    return placed.groupBy("raster_id", "row", "col").agg(*(value(k).alias(k) for k in kinds))
 
 
 def mask_cells(
@@ -274,12 +300,14 @@ def grid_cells(header: DataFrame, block: int = BLOCK, partitions: int | None = N
     )
 
 
-def warp(cells: DataFrame, header: DataFrame, src_epsg: int, dst_epsg: int, dst_res: float) -> DataFrame:
+def warp(
+    cells: DataFrame, header: DataFrame, src_epsg: int, dst_epsg: int, dst_res: float, block: int = BLOCK // 4
+) -> DataFrame:
     """Bilinear resampling onto a grid in another system.
 
-    Every target cell looks up its four source neighbours by an equi join; nodata
-    neighbours are left out and the other weights scaled up. Target cells without any
-    valid neighbour have no row.
+    Source cells go to square blocks with a rim of one cell, and each target cell goes once to the block of its upper left
+    source cell; inside blocks every cell meets the three beside it, and hands the four to the target cells it holds. Nodata
+    neighbours are left out and the other weights scaled up. Target cells without any valid neighbour have no row.
     """
     target = grid_cells(warp_header(header, src_epsg, dst_epsg, dst_res))
     placed = target.withColumns({
@@ -289,6 +317,7 @@ def warp(cells: DataFrame, header: DataFrame, src_epsg: int, dst_epsg: int, dst_
     geographic = crs.with_wgs84(placed, "_x", "_y", dst_epsg, "_lon", "_lat").select("raster_id", "row", "col", "_lon", "_lat")
     native = crs.with_plane(geographic, "_lon", "_lat", src_epsg, "_sx", "_sy")
     sx, sy = F.col("_sx"), F.col("_sy")
+    size = header.select("raster_id", "width", "height")
     source = header.select(
         "raster_id", F.struct("minx", "miny", "width", "height", "resolution").alias("_s")
     )
@@ -296,24 +325,53 @@ def warp(cells: DataFrame, header: DataFrame, src_epsg: int, dst_epsg: int, dst_
         "_fx": (sx - F.col("_s.minx")) / F.col("_s.resolution"),
         "_fy": F.col("_s.height") - 1 - (sy - F.col("_s.miny")) / F.col("_s.resolution"),
     })
-    wx, wy = F.col("_fx") - F.floor("_fx"), F.col("_fy") - F.floor("_fy")
-    c0, r0 = F.floor("_fx").cast("int"), F.floor("_fy").cast("int")
-    corners = F.array(*(
-        F.struct(
-            (r0 + j).alias("_r"), (c0 + i).alias("_c"),
-            ((wx if i else 1 - wx) * (wy if j else 1 - wy)).alias("_w"),
-        )
-        for j in (0, 1) for i in (0, 1)
-    ))
-    wanted = placed.select("raster_id", "row", "col", F.inline(corners)).filter("_w > 0")
-    known = cells.filter(F.col("value").isNotNull()).select(
-        "raster_id", F.col("row").alias("_r"), F.col("col").alias("_c"), "value"
+    c0, r0 = F.floor("_fx"), F.floor("_fy")
+    seen = c0.between(-1, F.col("_s.width") - 1) & r0.between(-1, F.col("_s.height") - 1)
+    keys = ["raster_id", "_br", "_bc"]
+    probe = F.struct("row", "col", (F.col("_fx") - c0).alias("wx"), (F.col("_fy") - r0).alias("wy"))
+
+    def block_of(at: Column) -> Column:
+        return F.floor(F.greatest(at, F.lit(0)) / block).cast("int")
+
+    probes = placed.filter(seen).select(
+        "raster_id", block_of(r0).alias("_br"), block_of(c0).alias("_bc"), F.array(r0.cast("int")).alias("_rows"),
+        F.array(c0.cast("int")).alias("_cols"), F.lit(None).cast("double").alias("value"), probe.alias("_probe"))
+    none = F.lit(None).cast(probes.schema["_probe"].dataType)
+
+    def copies(axis: str) -> Column:
+        return F.array_distinct(F.array(block_of(F.col(axis) - 1), block_of(F.col(axis))))
+
+    known = (
+        cells.filter(F.col("value").isNotNull())
+        .withColumn("_br", F.explode(copies("row"))).withColumn("_bc", F.explode(copies("col")))
+        .select(*keys, F.array("row").alias("_rows"), F.array("col").alias("_cols"), F.col("value").cast("double").alias("value"), none.alias("_probe"))
     )
-    return (
-        wanted.join(known, ["raster_id", "_r", "_c"])
-        .groupBy("raster_id", "row", "col")
-        .agg((F.sum(F.col("_w") * F.col("value")) / F.sum("_w")).alias("value"))
+
+    def span(start: str, side: str) -> Column:
+        return F.sequence(F.col(start) * block - 1, F.least((F.col(start) + 1) * block, F.col(side)))
+
+    def blocks_of(side: str) -> Column:
+        return F.sequence(F.lit(0), F.floor((F.col(side) - 1) / block).cast("int"))
+
+    frame = (
+        size.withColumn("_br", F.explode(blocks_of("height"))).withColumn("_bc", F.explode(blocks_of("width")))
+        .select(*keys, span("_br", "height").alias("_rows"), span("_bc", "width").alias("_cols"), F.lit(None).cast("double").alias("value"), none.alias("_probe"))
+    )
+    dense = (
+        known.unionByName(frame).unionByName(probes).repartition(*keys)
+        .withColumn("_r", F.explode("_rows")).withColumn("_c", F.explode("_cols"))
+        .groupBy(*keys, "_r", "_c").agg(F.max("value").alias("v"), F.collect_list("_probe").alias("_probes"))
     )
+    along = Window.partitionBy(*keys, "_r").orderBy("_c")
+    across = Window.partitionBy(*keys, "_c").orderBy("_r")
+    pair = dense.withColumn("e", F.lead("v").over(along))
+    quad = pair.withColumn("_below", F.lead(F.struct("v", "e")).over(across)).filter(F.size("_probes") > 0)
+    told = quad.select("raster_id", F.inline("_probes"), "v", "e", F.col("_below.v").alias("s"), F.col("_below.e").alias("se"))
+    wx, wy = F.col("wx"), F.col("wy")
+    parts = (((1 - wx) * (1 - wy), "v"), (wx * (1 - wy), "e"), ((1 - wx) * wy, "s"), (wx * wy, "se"))
+    weight = reduce(Column.__add__, (F.when(F.col(n).isNotNull(), w).otherwise(0.0) for w, n in parts))
+    total = reduce(Column.__add__, (F.coalesce(w * F.col(n), F.lit(0.0)) for w, n in parts))
+    return told.select("raster_id", "row", "col", F.when(weight > 0, total / weight).alias("value")).filter("value IS NOT NULL")
 
 
 def crs_text(epsg: int) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import crs, geom, text
+from ..functions import crs, geom, morton, text
 
 # Page limits, systems that need no transformation, raster asset marks.
 DEFAULT_LIMIT, MAX_LIMIT = 10, 100
@@ -76,10 +77,49 @@ def matches(
             shape = geom.from_wkt(F.col("geometry_wkt"))
             exact = geom.intersects_box(shape, west, south, east, north)
             near = near & (shape.isNull() | exact)
+        if "home_level" in items.columns:
+            near = _at_home(west, south, east, north) & near
         test = test & ((near | F.col("minx").isNull()) if keep_unlocated else near)
     return test
 
 
+#: Side of the smallest home cell in degrees, and how many times it doubles up to the whole circle.
+HOME_SIDE, HOME_LEVELS = 360 / 2**20, 20
+
+
+def with_home(items: DataFrame) -> DataFrame:
+    """Adds the cell where an item is at home: of the level whose cells are just as large as its box, the one with its lower left corner.
+
+    An item then lies in its home and the cells above and right of it, so a request box looks at its own cells and one more.
+    Items without a location have none.
+    """
+    size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    level = F.least(F.greatest(F.ceil(F.log2(size / HOME_SIDE)), F.lit(0)), F.lit(HOME_LEVELS)).cast("int")
+    side = F.lit(HOME_SIDE) * F.pow(F.lit(2.0), F.col("home_level"))
+    leveled = items.withColumn("home_level", F.when(F.col("minx").isNotNull(), F.coalesce(level, F.lit(0))))
+    return leveled.withColumns({f"home_{a}": F.floor(F.col(f"min{a}") / side) for a in "xy"})
+
+
+def write_located(items: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Item index with homes, ordered by level and then along a Z curve, so that files and row groups cover compact areas."""
+    homed = with_home(items)
+    curve = morton.interleave(*(F.coalesce(F.col(f"home_{a}") + (1 << HOME_LEVELS), F.lit(0)) for a in "xy"))
+    order = ["home_level", "_z", "id"]
+    placed = homed.withColumn("_z", curve)
+    spread = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
+    spread.sortWithinPartitions(*order).drop("_z").write.mode("overwrite").parquet(path)
+
+
+def _at_home(west: float, south: float, east: float, north: float) -> Column:
+    """Items whose home lets them meet a box: plain comparisons that Parquet can prune with, before any geometry is read."""
+    test = F.lit(False)
+    for level in range(HOME_LEVELS + 1):
+        side = HOME_SIDE * 2**level
+        span = [(math.floor(low / side) - 1, math.floor(high / side)) for low, high in ((west, east), (south, north))]
+        test = test | ((F.col("home_level") == level) & F.col("home_x").between(*span[0]) & F.col("home_y").between(*span[1]))
+    return test
+
+
 def ordering(sortby: Sequence[dict] | None = None) -> list[Column]:
     """Requested fields first, then the stable index order (datetime DESC nulls last, id)."""
     order = []

@@ -4,97 +4,110 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..functions import morton
+from ..functions.binding import let
+from ..session import written
 
-FANOUT = 2
+#: Places in a leaf of the nearest join; cuts before its first level.
+LEAF, FIRST = 16, 4
 
 
-def _cells(df: DataFrame, level: int) -> DataFrame:
-    """Occupied cells of a level."""
-    return df.select(
-        F.floor(F.col("cx") / FANOUT**level).alias("cx"), F.floor(F.col("cy") / FANOUT**level).alias("cy")
-    ).distinct()
+def _finite(df: DataFrame) -> DataFrame:
+    """Rows with a place: no null, NaN or infinite coordinate."""
+    return df.filter(" AND ".join(f"abs({c}) < double('infinity')" for c in ("X", "Y")))
 
 
-def _gap(a: Column, b: Column, closest: bool) -> Column:
-    """Smallest or greatest distance along one axis between points of two cells (cell units)."""
-    away = F.abs(a - b)
-    return F.greatest(away - 1, F.lit(0)) if closest else away + 1
+def _in_leaves(places: DataFrame, low: Sequence[float], extent: float, most: int) -> DataFrame:
+    """Places with their curve number (_h, _l) and how many cuts (_cuts) leave at most ``most`` places of a task in their cell.
+
+    Along the curve the places of a cell are neighbours: a cell holds more than ``most`` where a place and the one that many
+    steps on share it. Tasks take runs of the curve of equal length, however crowded a part of the plane is.
+    """
+    high, lower = morton.halves(F.col("X"), F.col("Y"), low, extent)
+    ordered = places.withColumns({"_h": high, "_l": lower}).repartitionByRange("_h", "_l", "X", "Y").withColumn("_run", F.spark_partition_id())
+    along = Window.partitionBy("_run").orderBy("_h", "_l", "X", "Y")
+    ahead = F.lead("_h", most).over(along), F.lead("_l", most).over(along)
+    crowded = ordered.withColumns({"_ah": ahead[0], "_al": ahead[1]}).withColumn(
+        "_shared", F.when(F.col("_ah").isNull(), -1).otherwise(morton.shared_cuts((F.col("_h"), F.col("_l")), (F.col("_ah"), F.col("_al")))))
+    cuts = F.least(F.max("_shared").over(along.rowsBetween(-most, 0)) + 1, F.lit(morton.LEVELS))
+    return written(crowded.withColumn("_cuts", cuts).drop("_run", "_ah", "_al", "_shared"), "places")
+
+
+def _box(side: str) -> list[Column]:
+    return [fold(f"{side}{e}{c}").alias(f"{side}{e}{c}") for c in "xy" for e, fold in (("a", F.min), ("z", F.max))]
+
+
+def _leaves(places: DataFrame, side: str) -> DataFrame:
+    """Leaves with the box around their places. These share the leaf's leading bits, and the least halves do too."""
+    boxed = places.select("_h", "_l", "_cuts", *(F.col(c).alias(f"{side}{e}{c.lower()}") for c in ("X", "Y") for e in "az"))
+    leaf = morton.cell(F.col("_h"), F.col("_l"), F.col("_cuts")).alias("_leaf")
+    return written(boxed.groupBy(leaf, "_cuts").agg(F.min("_h").alias("_h"), F.min("_l").alias("_l"), *_box(side)), "leaves")
+
+
+def _nodes(leaves: DataFrame, level: int, above: int, side: str) -> DataFrame:
+    """Nodes after ``level`` cuts, or leaves that need fewer, with their box and the node after ``above`` cuts."""
+    def at(cuts: int) -> Column:
+        return morton.cell(F.col("_h"), F.col("_l"), F.least(F.col("_cuts"), F.lit(cuts)))
+
+    return leaves.groupBy(at(level).alias(side), at(above).alias(f"_p{side}")).agg(*_box(side))
+
+
+def _reach(closest: bool) -> Column:
+    """Square of the least or greatest distance between places of two boxes; a place is its own box."""
+    def along(c: str) -> Column:
+        gap = [F.col(f"la{c}") - F.col(f"rz{c}"), F.col(f"ra{c}") - F.col(f"lz{c}")]
+        return F.greatest(*gap, F.lit(0.0)) if closest else F.greatest(-gap[0], -gap[1])
+
+    return along("x") * along("x") + along("y") * along("y")
+
+
+def _promising(pairs: DataFrame, *key: str) -> DataFrame:
+    """Pairs that may hold the nearest place: the least distance is within what another pair of the same left node guarantees."""
+    scored = pairs.withColumns({"_lo": _reach(True), "_hi": _reach(False)})
+    best = F.min("_hi").over(Window.partitionBy(*key))
+    # Bounds and distances round apart in the last bits.
+    return scored.withColumn("_best", best).filter(F.col("_lo") <= F.col("_best") * (1 + 1e-9))
 
 
 def nearest_join(
-    left: DataFrame, right: DataFrame, payload: Sequence[str], leaf: float = 0.5, suffix: str = "_near"
+    left: DataFrame, right: DataFrame, payload: Sequence[str], suffix: str = "_near", most: int = LEAF
 ) -> DataFrame:
-    """Exact nearest right point (2-D) of every left point.
+    """Exact nearest right point (2-D) of every left point; rows without a place, and all where the right side has none, get nulls.
 
-    Both sides are folded to distinct places first: many returns at one place cost one
-    row, and the lowest payload there (in the stated column order) is the tie rule. A grid
-    pyramid, four times finer per level, then narrows down candidate cell pairs: a pair
-    survives while its smallest possible distance does not exceed the best guaranteed
-    distance of its left cell. One cell has at most four children, so fan-out is bounded at
-    every level however crowded a place is, and no level compares all pairs of a group.
-    ``leaf`` is the finest cell; it should hold few distinct places.
+    Both sides are folded to distinct places first: many returns at one place cost one row, and the lowest payload there (in the
+    stated column order) is the tie rule. The plane is then cut where it is crowded, until a cell holds at most ``most`` places.
+    From the root down, a left cell keeps the right cells that its certified distance allows, which is the least of all greatest
+    distances to one; in the end each left place keeps a few leaves. No cell size is set, and no level compares whole groups.
 
     Ties in distance go to the smallest (X, Y, payload).
     """
     columns = list(left.columns)
-    low_x, low_y, high_x, high_y = (
-        left.select("X", "Y").unionByName(right.select("X", "Y"))
-        .agg(F.min("X"), F.min("Y"), F.max("X"), F.max("Y")).first()
-    )
-    x0, y0 = low_x or 0.0, low_y or 0.0
-    extent = max((high_x or 0.0) - x0, (high_y or 0.0) - y0)
-    top = max(1, math.ceil(math.log(extent / leaf + 1, FANOUT)))
-    cell = {
-        "cx": F.floor((F.col("X") - x0) / leaf).cast("bigint"),
-        "cy": F.floor((F.col("Y") - y0) / leaf).cast("bigint"),
-    }
-    places = left.select("X", "Y").distinct().withColumns(cell)
-    grounds = right.groupBy("X", "Y").agg(F.min(F.struct(*payload)).alias("p")).withColumns(cell)
-
-    # Every level starts from the occupied leaf cells, so these are written once to the shared
-    # folder instead of being worked out again from the points at each level.
-    left_leaf, right_leaf = cut_lineage(_cells(places, 0)), cut_lineage(_cells(grounds, 0))
-    pairs = None
-    for level in range(top, -1, -1):
-        lc, rc = _cells(left_leaf, level), _cells(right_leaf, level)
-        l = lc.select(F.col("cx").alias("lx"), F.col("cy").alias("ly"))
-        r = rc.select(F.col("cx").alias("rx"), F.col("cy").alias("ry"))
-        if pairs is None:
-            # one cell covers everything at the top
-            met = l.join(r, (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")))
-        else:
-            up = [F.floor(F.col(c) / FANOUT).alias(f"p{c}") for c in ("lx", "ly", "rx", "ry")]
-            met = pairs.join(l.select("*", up[0], up[1]), ["plx", "ply"]).join(
-                r.select("*", up[2], up[3]), ["prx", "pry"]
-            )
-        near = [_gap(F.col(f"l{a}"), F.col(f"r{a}"), True) for a in "xy"]
-        far = [_gap(F.col(f"l{a}"), F.col(f"r{a}"), False) for a in "xy"]
-        scored = met.select(
-            "lx", "ly", "rx", "ry",
-            (near[0] * near[0] + near[1] * near[1]).alias("lo"),
-            (far[0] * far[0] + far[1] * far[1]).alias("hi"),
-        )
-        # one left cell and its surviving candidates: a bounded group
-        best = F.min("hi").over(Window.partitionBy("lx", "ly"))
-        kept = scored.withColumn("best", best).filter("lo <= best")
-        pairs = kept.select(*(F.col(c).alias(f"p{c}") for c in ("lx", "ly", "rx", "ry")))
-
-    leaf_pairs = pairs.select(*(F.col(f"p{c}").alias(c) for c in ("lx", "ly", "rx", "ry")))
-    asked = places.select(F.col("X"), F.col("Y"), F.col("cx").alias("lx"), F.col("cy").alias("ly"))
-    known = grounds.select(
-        F.col("X").alias("_gx"), F.col("Y").alias("_gy"), "p", F.col("cx").alias("rx"), F.col("cy").alias("ry")
-    )
-    met = asked.join(leaf_pairs, ["lx", "ly"]).join(known, ["rx", "ry"])
+    places = written(_finite(left).select("X", "Y").distinct(), "left")
+    grounds = written(_finite(right).groupBy("X", "Y").agg(F.min(F.struct(*payload)).alias("p")), "right")
+    span = places.select("X", "Y").unionByName(grounds.select("X", "Y")).agg(F.min("X"), F.min("Y"), F.max("X"), F.max("Y")).first()
+    low_x, low_y, high_x, high_y = (v or 0.0 for v in span)
+    frame = (low_x, low_y), max(high_x - low_x, high_y - low_y), most
+    places, grounds = _in_leaves(places, *frame), _in_leaves(grounds, *frame)
+    lefts, rights = _leaves(places, "l"), _leaves(grounds, "r")
+    depth = lefts.select("_cuts").unionByName(rights.select("_cuts")).agg(F.max("_cuts")).first()[0] or 0
+    # All places lie in the one root; the first level holds 256 cells a side at most, which all meet.
+    root = morton.cell(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(0))
+    pairs, above = left.sparkSession.range(1).select(root.alias("_pl"), root.alias("_pr")), 0
+    for level in range(min(FIRST, depth), depth + 1):
+        met = pairs.join(_nodes(lefts, level, above, "l"), "_pl").join(_nodes(rights, level, above, "r"), "_pr")
+        pairs, above = _promising(met, "l").select(F.col("l").alias("_pl"), F.col("r").alias("_pr")), level
+    leaf = morton.cell(F.col("_h"), F.col("_l"), F.col("_cuts"))
+    own = places.select(*(F.col(c).alias(f"l{e}{c.lower()}") for c in ("X", "Y") for e in "az"), leaf.alias("_pl"))
+    met = pairs.join(own, "_pl").join(rights.withColumnRenamed("_leaf", "_pr"), "_pr")
+    asked = _promising(met, "lax", "lay").select(F.col("lax").alias("X"), F.col("lay").alias("Y"), F.col("_pr"))
+    known = grounds.select(F.col("X").alias("_gx"), F.col("Y").alias("_gy"), "p", leaf.alias("_pr"))
     dx, dy = F.col("X") - F.col("_gx"), F.col("Y") - F.col("_gy")
-    found = met.groupBy("X", "Y").agg(
-        F.min(F.struct((dx * dx + dy * dy).alias("d"), "_gx", "_gy", "p")).alias("_n")
-    )
-    # Left rows without a place, or without any right row, keep nulls.
+    found = asked.join(known, "_pr").groupBy("X", "Y").agg(F.min(F.struct((dx * dx + dy * dy).alias("d"), "_gx", "_gy", "p")).alias("_n"))
     return left.join(found, ["X", "Y"], "left").select(
         *columns,
         F.sqrt("_n.d").alias("distance"),
@@ -102,7 +115,7 @@ def nearest_join(
     )
 
 
-def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0, levels: int = 24) -> DataFrame:
+def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0) -> DataFrame:
     """Points with every area (area_id, minx, miny, maxx, maxy) that holds them, closed.
 
     An area is filed at the grid level whose cells are about a quarter of its size, so it
@@ -112,7 +125,7 @@ def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0, leve
     small, else shuffled, with crowded cells split.
     """
     size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    rank = F.least(F.ceil(F.log2(F.greatest(size / (4 * base), F.lit(1.0)))).cast("int"), F.lit(levels))
+    rank = F.ceil(F.log2(F.greatest(size / (4 * base), F.lit(1.0)))).cast("int")
     side = F.lit(base) * F.pow(F.lit(2.0), F.col("_l"))
     filed = areas.withColumn("_l", rank).withColumn("_side", side)
 
@@ -131,12 +144,42 @@ def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0, leve
     )
 
 
-def interp_join(samples: DataFrame, series: DataFrame, by: Sequence[str], width: float) -> DataFrame:
+#: Strips in a segment of the interpolation, as a power of two.
+SEGMENT_BITS = 20
+
+
+def _carried(strips: DataFrame, keys: list[str], bits: int = SEGMENT_BITS) -> DataFrame:
+    """keys, _s, _before, _after: the last filled strip before and the first after each strip, whatever lies between.
+
+    Two levels: inside segments of 2^bits strips, and over segments, which again are cut into runs of as many; beyond a run of
+    runs there are only keys. So no window holds more than 2^bits rows of a key.
+    """
+    def both(segment: Column, place: str, first: str, last: str) -> tuple[Column, Column]:
+        order = Window.partitionBy(*keys, segment).orderBy(place)
+        return (F.last(last, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                F.first(first, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)))
+
+    # Strips count from far below zero, so that the runs of segments are one as long as there are fewer than 2^(2 bits) strips.
+    shifted = F.shiftright(F.col("_s").cast("bigint") + (1 << (2 * bits - 1)), bits)
+    inner = strips.withColumn("_g", shifted)
+    before, after = both(F.col("_g"), "_s", "_first", "_last")
+    inner = inner.withColumns({"_before": before, "_after": after})
+    segments = strips.withColumn("_g", shifted).groupBy(*keys, "_g").agg(F.min("_first").alias("_gfirst"), F.max("_last").alias("_glast"))
+    before, after = both(F.shiftright("_g", bits), "_g", "_gfirst", "_glast")
+    outer = segments.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_g").alias("_og"), before.alias("_gbefore"), after.alias("_gafter"))
+    match = F.col("_g") == F.col("_og")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return inner.join(outer, match).select(
+        *keys, "_s", F.coalesce("_before", "_gbefore").alias("_before"), F.coalesce("_after", "_gafter").alias("_after"))
+
+
+def interp_join(samples: DataFrame, series: DataFrame, by: Sequence[str], width: float, bits: int = SEGMENT_BITS) -> DataFrame:
     """Linear interpolation of series (x, y) at samples (x), clamped at both ends.
 
     Equal series positions are averaged first. Rows are cut into strips of ``width``, and
     windows run inside strips only; what a strip needs from outside is the nearest filled
-    strip on either side, found on a table with one row per strip.
+    strip on either side, found by a scan over segments of strips.
     """
     keys = list(by)
     strip = F.floor(F.col("x") / width)
@@ -145,21 +188,15 @@ def interp_join(samples: DataFrame, series: DataFrame, by: Sequence[str], width:
     point = F.struct("x", "y")
     edges = known.groupBy(*keys, "_s").agg(F.min(point).alias("_first"), F.max(point).alias("_last"))
     strips = asked.select(*keys, "_s").distinct().join(edges, [*keys, "_s"], "full_outer")
-    order = Window.partitionBy(*keys).orderBy("_s") if keys else Window.orderBy("_s")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    carried = strips.select(
-        *keys, "_s",
-        F.last("_last", ignorenulls=True).over(before).alias("_before"),
-        F.first("_first", ignorenulls=True).over(after).alias("_after"),
-    )
+    carried = _carried(strips, keys, bits)
     both = known.select(*keys, "_s", "x", point.alias("_p")).unionByName(
         asked.select(*keys, "_s", "x", F.lit(None).cast("struct<x:double,y:double>").alias("_p"))
     ).withColumn("_ask", F.col("_p").isNull())
     inside = Window.partitionBy(*keys, "_s").orderBy("x", "_ask")
     backward = F.last("_p", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    # a series point at the sample itself is already found backward
-    forward = F.first("_p", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing))
+    # The next series point is found by the same running scan from the other end; one at the sample itself is found backward.
+    down = Window.partitionBy(*keys, "_s").orderBy(F.desc("x"), F.desc("_ask"))
+    forward = F.last("_p", ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, -1))
     seen = both.withColumns({"_back": backward, "_next": forward}).filter("_ask")
     placed = seen.join(carried, [*keys, "_s"])
     low, high = F.coalesce("_back", "_before"), F.coalesce("_next", "_after")
@@ -170,39 +207,47 @@ def interp_join(samples: DataFrame, series: DataFrame, by: Sequence[str], width:
     return placed.select(*keys, "x", value.alias("y"))
 
 
-def exact_quantile(df: DataFrame, value: str, p: float, buckets: int = 65536) -> DataFrame:
-    """Exact quantile with linear interpolation, as a one-row DataFrame ``quantile``.
+#: Bits of a double that a round of the quantile looks at.
+DIGIT = 16
+
 
-    Distinct values are counted first. A histogram of at most ``buckets`` rows locates the
-    two ranks the answer lies between; only the values of those buckets are then ranked, in
-    a window per bucket, so no task sees the whole column.
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a whole number of the same order: -0.0 equals 0.0, and NaN stands above infinity."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("bigint")
+    return let(lambda b: F.when(b["b"] >= 0, b["b"]).otherwise(b["b"].bitwiseXOR(F.lit((1 << 63) - 1))), b=bits)
+
+
+def exact_quantile(df: DataFrame, value: str, p: float) -> DataFrame:
+    """Exact quantile with linear interpolation, as a one-row DataFrame ``quantile``; NULL without any value.
+
+    Radix selection: a histogram of the first 16 bits of the values, in their order, tells which of them hold the two ranks the
+    answer lies between; the next round looks at the next bits of these values alone. After at most four rounds of at
+    most 65,536 partially counted rows each, the values are known, whatever their spread and however often they repeat.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
-        F.count("*").alias("n")
-    )
-    span = counts.agg(
-        F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("n")).alias("s")
-    ).scalar()
-    width = (F.col("_s.hi") - F.col("_s.lo")) / buckets
-    bucket = F.least(F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("_s.lo"), width), F.lit(0.0))), F.lit(buckets - 1))
-    filed = counts.withColumn("_s", span).withColumn("b", bucket)
-    total = F.sum("n").over(Window.orderBy("b"))
-    rank = p * (F.col("total") - 1)
-    histogram = (
-        filed.groupBy("b").agg(F.sum("n").alias("n"), F.first("_s.n").alias("total"))
-        .withColumn("upto", total)
-        .withColumns({"before": F.col("upto") - F.col("n"), "k0": F.floor(rank), "k1": F.ceil(rank), "f": rank - F.floor(rank)})
-        .filter(
-            F.col("k0").between(F.col("before"), F.col("upto") - 1) | F.col("k1").between(F.col("before"), F.col("upto") - 1)
-        )
-        .select("b", "before", "k0", "k1", "f")
-    )
-    ranked = filed.join(histogram, "b").withColumn(
-        "upto", F.col("before") + F.sum("n").over(Window.partitionBy("b").orderBy("v"))
-    )
-    first = F.col("upto") - F.col("n")
-    low = F.max(F.when(F.col("k0").between(first, F.col("upto") - 1), F.col("v")))
-    high = F.max(F.when(F.col("k1").between(first, F.col("upto") - 1), F.col("v")))
-    return ranked.agg(low.alias("a"), high.alias("z"), F.max("f").alias("f")).select(
-        (F.col("a") + (F.col("z") - F.col("a")) * F.col("f")).alias("quantile")
-    )
+    spark = df.sparkSession
+    values = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    total = values.count()
+    rank = p * max(total - 1, 0)
+    found: dict[int, float] = {}
+    #: Ranks still looked for among the values that share some leading bits, counted from the first of these.
+    todo = [(values, {math.floor(rank): math.floor(rank), math.ceil(rank): math.ceil(rank)})] if total else []
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        later = []
+        for rows, ranks in todo:
+            digits = rows.groupBy(F.shiftright(ordered_bits(F.col("v")), shift).alias("d")).agg(
+                F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            # At most 65,536 rows, whatever the table holds.
+            upto = digits.withColumn("upto", F.sum("n").over(Window.orderBy("d"))).withColumn("first", F.col("upto") - F.col("n"))
+            holds = reduce(Column.__or__, (F.lit(k).between(F.col("first"), F.col("upto") - 1) for k in ranks.values()))
+            for r in upto.filter(holds).collect():
+                inside = {k: at - r["first"] for k, at in ranks.items() if r["first"] <= at < r["upto"]}
+                if r["lo"] == r["hi"] or math.isnan(r["lo"]):
+                    found |= {k: r["lo"] for k in inside}
+                else:
+                    later.append((values.filter(F.shiftright(ordered_bits(F.col("v")), shift) == r["d"]).filter(F.col("v").between(r["lo"], r["hi"])), inside))
+        todo = later
+    if not total:
+        return spark.range(1).select(F.lit(None).cast("double").alias("quantile"))
+    low, high = found[math.floor(rank)], found[math.ceil(rank)]
+    part = rank - math.floor(rank)
+    return spark.range(1).select(F.lit(low if part == 0 or low == high else low + (high - low) * part).alias("quantile"))

@@ -290,26 +290,74 @@ def cut_fill(cells: DataFrame, target: float, cell_area: float) -> DataFrame:
 # --- ground -----------------------------------------------------------------------------
 
 
-def opened_surface(cells: DataFrame, header: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
-    """Morphological opening (minimum, then maximum) of a square window of cells.
+def _steps(radius: int, start: int = 0) -> list[int]:
+    """Radii that lead from one to another: three windows of radius r, set apart, make one of up to 3r + 1."""
+    found = []
+    while start < radius:
+        start = min(3 * start + 1, radius)
+        found.append(start)
+    return found
+
 
-    Nodata cells neither erode nor dilate. The halo is twice the radius, so a block sees
-    everything its own cells depend on.
+def _wider(fold, name: str, apart: int, line: list[str], order: str, start: Column, length: Column) -> Column:
+    """Fold of a column's windows here and ``apart`` cells to both sides; at the ends of a line the last window there counts.
+
+    Lines are dense, so cells are reached by their place in the line and the cost does not depend on the radius.
     """
-    blocks = to_blocks(cells, header, max(block, 4 * radius), halo=2 * radius, dense=True)
+    window = Window.partitionBy(*line).orderBy(order)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.col(order) - start
+    before = F.when(place >= apart, F.lag(name, apart).over(window)).otherwise(F.first(name).over(whole))
+    after = F.when(place + apart < length, F.lead(name, apart).over(window)).otherwise(F.last(name).over(whole))
+    return fold(before, F.col(name), after)
 
-    def spread(df: DataFrame, fold, source: str, out: str) -> DataFrame:
-        keys = ["raster_id", "_br", "_bc"]
-        along = Window.partitionBy(*keys, "row").orderBy("col").rangeBetween(-radius, radius)
-        across = Window.partitionBy(*keys, "col").orderBy("row").rangeBetween(-radius, radius)
-        return df.withColumn("_t", fold(source).over(along)).withColumn(out, fold("_t").over(across)).drop("_t")
 
-    low = spread(blocks, F.min, "value", "_low")
-    return (
-        spread(low, F.max, "_low", "opened")
-        .filter("home AND value IS NOT NULL")
-        .select("raster_id", "row", "col", "value", "opened")
-    )
+def opened_surfaces(cells: DataFrame, header: DataFrame, radii: Sequence[int], block: int = BLOCK) -> DataFrame:
+    """Morphological openings (minimum, then maximum) of square windows of cells, a column ``opened_<radius>`` for each radius.
+
+    Nodata cells neither erode nor dilate. All radii share one blocking, whose halo is twice the greatest radius, so a block
+    sees everything its own cells depend on. Wide windows are made of narrower ones, first along rows and then along columns.
+    """
+    radii, halo, infinity = sorted(set(radii)), 2 * max(radii), F.lit(float("inf"))
+    block = max(block, 2 * halo)
+    blocks = to_blocks(cells, header, block, halo, dense=True).withColumn("_h0", F.coalesce("value", infinity))
+    keys = ["raster_id", "_br", "_bc"]
+
+    def line(start: str, side: str) -> tuple[Column, Column]:
+        low = F.greatest(F.col(start) * block - halo, F.lit(0))
+        return low, F.least((F.col(start) + 1) * block + halo, F.col(side)) - low
+
+    rows = [*keys, "row"], "col", *line("_bc", "width")
+    columns = [*keys, "col"], "row", *line("_br", "height")
+
+    def pass_over(df: DataFrame, fold, way: tuple, prefix: str, out: str) -> DataFrame:
+        """One direction for all radii: step by step, each radius from its own column ``prefix + radius``."""
+        plans = {r: _steps(r) for r in radii}
+        for k in range(max(map(len, plans.values()))):
+            made = {}
+            for r, steps in plans.items():
+                source = f"{prefix}{r}" if k == 0 else f"{out}{r}"
+                if k < len(steps):
+                    made[f"{out}{r}"] = _wider(fold, source, steps[k] - (steps[k - 1] if k else 0), *way)
+            df = df.withColumns(made)
+        return df.drop(*(f"{prefix}{r}" for r in radii))
+
+    # Along rows a radius starts where the one before it ends.
+    before = 0
+    for r in radii:
+        source = f"_h{before}"
+        for step in _steps(r, before):
+            blocks = blocks.withColumn("_w", _wider(F.least, source, step - before, *rows))
+            blocks, before, source = blocks.withColumn(f"_h{r}", F.col("_w")).drop("_w"), step, f"_h{r}"
+    low = pass_over(blocks, F.least, columns, "_h", "_low")
+    turned = low.withColumns({f"_low{r}": F.when(F.col(f"_low{r}") == infinity, -infinity).otherwise(F.col(f"_low{r}")) for r in radii})
+    high = pass_over(pass_over(turned, F.greatest, columns, "_low", "_up"), F.greatest, rows, "_up", "opened_")
+    return high.filter("home AND value IS NOT NULL").select("raster_id", "row", "col", "value", *(f"opened_{r}" for r in radii))
+
+
+def opened_surface(cells: DataFrame, header: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """The opening of one square window, as ``opened``."""
+    return opened_surfaces(cells, header, [radius], block).withColumnRenamed(f"opened_{radius}", "opened")
 
 
 def ground_radii(window: float, cell: float) -> list[int]:
@@ -327,13 +375,10 @@ def ground_limit(cells: DataFrame, header: DataFrame, cell: float, slope: float
     A simplification of progressive morphological filtering: at every radius ground may
     rise above the opened surface by slope * radius * cell.
     """
-    parts = None
-    for radius in ground_radii(window, cell):
-        step = opened_surface(cells, header, radius).select(
-            "raster_id", "row", "col", (F.col("opened") + slope * radius * cell).alias("_limit")
-        )
-        parts = step if parts is None else parts.unionByName(step)
-    return parts.groupBy("raster_id", "row", "col").agg(F.min("_limit").alias("limit"))
+    radii = ground_radii(window, cell)
+    limits = [F.col(f"opened_{r}") + slope * r * cell for r in radii]
+    opened = opened_surfaces(cells, header, radii)
+    return opened.select("raster_id", "row", "col", (F.least(*limits) if len(limits) > 1 else limits[0]).alias("limit"))
 
 
 def classify_ground(points: DataFrame, cell: float, slope: float = 0.3, window: float = 16) -> DataFrame:

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import geom
 from ..operators import quality, raster, render, search
+from ..operators.points import crop
 from ..session import scratch_dir
 from ..sources import documents, tables
 from ..streaming import index as live
 from .registry import NUDGE, query, rounded
 from .search_queries import BASE, NOW, _collections, _hits, _raster_meta
-from .search_queries import inverse_sql
+from .search_queries import forward_sql, inverse_sql
 from .terrain_queries import CELLS, RES
 from .views import ITEMS, META, POINTS, cells, header, header_sql, items, meta, points, raster_sql, table
 
@@ -45,7 +46,7 @@ def _item_docs(spark, sf_dir):
     when = F.when(n % 13 == 0, F.lit("not a time")).otherwise(render.iso_time(F.col("datetime")))
     count = F.when(n % 23 == 0, F.lit("12.5")).when(n % 29 != 0, F.col("pc_count").cast("string"))
     properties = F.concat(
-        F.lit('{"pc:type":"lidar"'), member("pc:count", count), member("title", F.when(n % 7 != 0, quoted(F.col("title")))),
+        F.lit('{"pc:type":"'), F.when(n % 37 == 5, "laser").otherwise("lidar"), F.lit('"'), member("pc:count", count), member("title", F.when(n % 7 != 0, quoted(F.col("title")))),
         member("datetime", quoted(when)), member("proj:epsg", F.col("proj_epsg").cast("string")), F.lit("}"),
     )
     assets = F.concat(
@@ -76,26 +77,19 @@ def _item_docs(spark, sf_dir):
     return rows.select(F.inline(F.filter(variants, lambda v: v["keep"]))).drop("keep")
 
 
-def stored(spark, sf_dir, name, build):
-    """A document table as it would lie on storage: built once per session, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        path = scratch_dir(spark, name)
-        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
-        _STORED[key] = path
-    docs = spark.read.schema("path string, doc string").parquet(_STORED[key])
-    return docs.withColumn("type", documents.document_type(F.col("doc")))
-
-
-_STORED: dict[tuple, str] = {}
+def stored(spark, name, docs):
+    """A document table as it lies on storage."""
+    path = scratch_dir(spark, name)
+    docs.write.parquet(path)
+    return spark.read.schema("path string, doc string").parquet(path).withColumn("type", documents.document_type(F.col("doc")))
 
 
 def item_docs(spark, sf_dir):
-    return stored(spark, sf_dir, "itemdocs", lambda: _item_docs(spark, sf_dir))
+    return stored(spark, "itemdocs", _item_docs(spark, sf_dir))
 
 
 def collection_docs(spark, sf_dir):
-    return stored(spark, sf_dir, "collectiondocs", lambda: _collection_docs(spark, sf_dir))
+    return stored(spark, "collectiondocs", _collection_docs(spark, sf_dir))
 
 
 def all_docs(spark, sf_dir):
@@ -263,6 +257,20 @@ def items_geojson(spark, sf_dir):
     )
 
 
+@query("stored_json", f"""WITH {ITEMS}, d AS ({_DOC}), all_of AS (
+  SELECT *, event_id % 2 = 0 AS kept FROM d)
+SELECT id, title, CASE WHEN kept THEN 'root' END AS link, CASE WHEN NOT kept THEN pc_count END AS rebuilt_count FROM all_of""")
+def stored_json(spark, sf_dir):
+    """Items that still have their document give it back, the others are rebuilt from columns."""
+    docs = item_docs(spark, sf_dir).filter(F.col("path").rlike(r"item-(\d+)/item-\1\.json$") & ~F.col("path").startswith("index/"))
+    kept = F.expr("cast(substring(id, 6) as bigint) % 2 = 0")
+    found = documents.flatten_items(docs).withColumn("item_json", F.when(kept, F.col("item_json")))
+    said = F.from_json("feature", "id string, properties struct<title:string,`pc:count`:string>, links array<struct<rel:string>>")
+    shown = render.items_to_geojson(found.drop("links")).select("id", "title", said.alias("p"), kept.alias("kept"))
+    count = F.when(~F.col("kept"), F.col("p.properties")["pc:count"].cast("bigint"))
+    return shown.select("id", "title", F.try_element_at("p.links", F.lit(1))["rel"].alias("link"), count.alias("rebuilt_count"))
+
+
 @query("collections_json", f"""WITH {ITEMS} SELECT collection AS id, 'Events: ' || collection AS title, round(min(minx),8) AS west,
  strftime(min(datetime), '%Y-%m-%dT%H:%M:%SZ') AS start_datetime, 'https://example.org/collections/' || collection || '/items' AS items_href FROM v_items GROUP BY 1""")
 def collections_json(spark, sf_dir):
@@ -387,6 +395,7 @@ _PC_SQL = " UNION ALL ".join((
     "SELECT 'error', 'invalid_type', 'pc:count', count(*) FROM e WHERE event_id % 23 = 0",
     *(f"SELECT 'warning', 'missing_recommended', '{f}', count(*) FROM e" for f in quality.RECOMMENDED),
     "SELECT 'warning', 'missing_data_asset', NULL, count(*) FROM e WHERE event_id % 31 = 0",
+    "SELECT 'warning', 'non_standard_value', 'pc:type', count(*) FROM e WHERE event_id % 37 = 5",
 ))
 
 
@@ -434,14 +443,14 @@ def read_documents(spark, sf_dir):
     return documents.read_documents(spark, root, glob="*.txt").groupBy("type").agg(F.count("*").alias("n"))
 
 
-@query("read_processing_metadata", f"""WITH {META} SELECT count(*) FILTER (WHERE error IS NULL) AS ok, count(error) AS failed, CAST(sum(point_count) AS BIGINT) AS points, round(max(z1),4) AS top FROM v_meta""")
+@query("read_processing_metadata", f"""WITH {META} SELECT count(*) FILTER (WHERE error IS NULL) AS ok, count(error) AS failed, CAST(sum(point_count) AS BIGINT) AS points, round(max(z1) + {NUDGE},4) AS top FROM v_meta""")
 def read_processing_metadata(spark, sf_dir):
     root = scratch_dir(spark, "meta")
     meta(spark, sf_dir).write.json(root)
     read = documents.read_processing_metadata(spark, root, glob="*.json", multi_line=False)
     return read.agg(
         F.count_if(F.col("error").isNull()).alias("ok"), F.count("error").alias("failed"),
-        F.sum("point_count").alias("points"), F.round(F.max(F.col("bbox")[5]), 4).alias("top"),
+        F.sum("point_count").alias("points"), F.round(F.max(F.col("bbox")[5]) + NUDGE, 4).alias("top"),
     )
 
 
@@ -495,8 +504,7 @@ def manifest(spark, sf_dir):
     path = scratch_dir(spark, "manifest")
     hrefs = points(spark, sf_dir).select("source_file").distinct().select(
         F.concat(F.lit("https://example.org/data/"), "source_file", F.lit(".copc.laz")).alias("href"))
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.struct("href").alias("data")).alias("assets"))
-    hrefs.agg(F.collect_list(feature).alias("features")).write.json(path)
+    documents.write_manifest(hrefs, path)
     return documents.read_manifest(spark, path)
 
 
@@ -581,15 +589,42 @@ def full_reindex(spark, sf_dir):
     return documents.flatten_items(live.current_documents(spark, index)).select("id", "title")
 
 
+_WARP_RES = 0.0001
+
+
 @query("warp", f"""WITH {CELLS}, src AS (
   SELECT minx - 1 AS x0, miny - 1 AS y0, minx - 1 + width * 2::DOUBLE AS x1, miny - 1 + height * 2::DOUBLE AS y1, 6676 AS code, minx, miny, width, height FROM hdr),
 cn AS (SELECT x0 AS px, y0 AS py, code FROM src UNION ALL SELECT x1, y0, code FROM src UNION ALL SELECT x1, y1, code FROM src UNION ALL SELECT x0, y1, code FROM src),
-{inverse_sql('px', 'py', 'cn', 'code', 'code', 'w')}
-SELECT CAST(ceil((max(lon) - min(lon)) / 0.0001::DOUBLE) AS INTEGER) AS width, CAST(ceil((max(lat) - min(lat)) / 0.0001::DOUBLE) AS INTEGER) AS height, TRUE AS in_range FROM wgeo""")
+{inverse_sql('px', 'py', 'cn', 'code', 'code', 'w')},
+box AS (SELECT min(lon) + {_WARP_RES / 2}::DOUBLE AS ox, min(lat) + {_WARP_RES / 2}::DOUBLE AS oy, CAST(ceil((max(lon) - min(lon)) / {_WARP_RES}::DOUBLE) AS BIGINT) AS w,
+  CAST(ceil((max(lat) - min(lat)) / {_WARP_RES}::DOUBLE) AS BIGINT) AS h FROM wgeo),
+target AS (
+  SELECT r.i AS trow, c.i AS tcol, ox + c.i * {_WARP_RES}::DOUBLE AS tlon, oy + (h - 1 - r.i) * {_WARP_RES}::DOUBLE AS tlat
+  FROM box, LATERAL (SELECT unnest(range(0, h)) AS i) r, LATERAL (SELECT unnest(range(0, w)) AS i) c),
+{forward_sql('tlon', 'tlat', 'target', 6676, 'trow, tcol', 't')},
+spot AS (SELECT trow, tcol, (x - minx) / 2::DOUBLE AS fx, height - 1 - (y - miny) / 2::DOUBLE AS fy FROM tplane, hdr),
+corner AS (
+  SELECT trow, tcol, CAST(floor(fy) AS BIGINT) + j AS r, CAST(floor(fx) AS BIGINT) + i AS c,
+    (CASE WHEN i = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) * (CASE WHEN j = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) AS wt
+  FROM spot, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j))
+SELECT trow AS "row", tcol AS col, round(sum(wt * value) / sum(wt), 4) AS value
+FROM corner JOIN cells ON cells."row" = corner.r AND cells.col = corner.c WHERE wt > 0 GROUP BY 1, 2""")
 def warp(spark, sf_dir):
     dem, grid = cells(spark, sf_dir, RES), header(spark, sf_dir, RES)
-    moved = raster.warp(dem, grid, 6676, 4326, 0.0001)
-    span = dem.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("s")).scalar()
-    inside = moved.withColumn("s", span).agg(F.bool_and(F.col("value").between(F.col("s.lo") - 1e-9, F.col("s.hi") + 1e-9)).alias("v"))
-    shape = raster.warp_header(grid, 6676, 4326, 0.0001)
-    return shape.select("width", "height").withColumn("in_range", inside.scalar())
+    return raster.warp(dem, grid, 6676, 4326, _WARP_RES).select("row", "col", F.round("value", 4).alias("value"))
+
+
+_DEGREES = (139.0662, 35.5560, 139.0682, 35.5585)
+
+
+@query("crop_degrees", f"""WITH {POINTS}, corner AS (
+  SELECT unnest([{_DEGREES[0]}::DOUBLE, {_DEGREES[2]}::DOUBLE, {_DEGREES[2]}::DOUBLE, {_DEGREES[0]}::DOUBLE]) AS clon,
+    unnest([{_DEGREES[1]}::DOUBLE, {_DEGREES[1]}::DOUBLE, {_DEGREES[3]}::DOUBLE, {_DEGREES[3]}::DOUBLE]) AS clat),
+{forward_sql('clon', 'clat', 'corner', 6676, 'clon', 'd')},
+box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM dplane)
+SELECT source_file, count(*) AS points, round(min(X),6) AS min_x, round(max(Y),6) AS max_y FROM v_points, box
+WHERE X BETWEEN x0 AND x1 AND Y BETWEEN y0 AND y1 GROUP BY source_file""")
+def crop_degrees(spark, sf_dir):
+    inside = crop(points(spark, sf_dir), _DEGREES, bbox_crs="auto")
+    return inside.groupBy("source_file").agg(
+        F.count("*").alias("points"), F.round(F.min("X"), 6).alias("min_x"), F.round(F.max("Y"), 6).alias("max_y"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import crs
 from ..operators import heights, points as pts, spatial_join
 from .registry import query, rounded
-from .views import POINTS, points, spread, table
+from .views import POINTS, points, table
 
 SURVEY_BOX = (51250.0, -49150.0, 51350.0, -49050.0)
 CROP_BOX = (51260.0, -49160.0, 51420.0, -49020.0)
@@ -102,7 +102,7 @@ def points_in_areas(spark, sf_dir):
         F.col("p_partkey").alias("area_id"), x.alias("minx"), y.alias("miny"),
         (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size") / 2).alias("maxy"),
     )
-    inside = spatial_join.points_in_areas(spread(points(spark, sf_dir)), areas)
+    inside = spatial_join.points_in_areas(points(spark, sf_dir), areas)
     return inside.groupBy("area_id").agg(F.count("*").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
 
 
@@ -162,6 +162,38 @@ def hex_boundary(spark, sf_dir):
     return pts.hex_boundary(pts.hexbin(points(spark, sf_dir))).select("q", "r", "side")
 
 
+_RINGS = f"""{_HEX}, turn AS (
+  SELECT * FROM (VALUES (0,1,0,1,-1,1,1),(1,0,1,1,1,0,2),(2,-1,1,0,2,-1,1),(3,-1,0,-1,1,-1,-1),(4,0,-1,-1,-1,0,-2),(5,1,-1,0,-2,1,-1)) AS t(side, dq, dr, u0, v0, u1, v1)),
+edge AS (SELECT 2*a.q + a.r + u0 AS su, 3*a.r + v0 AS sv, 2*a.q + a.r + u1 AS eu, 3*a.r + v1 AS ev FROM hexes a JOIN turn ON TRUE
+  LEFT JOIN hexes b ON b.q = a.q + dq AND b.r = a.r + dr WHERE b.q IS NULL),
+walk AS (
+  SELECT su AS ru, sv AS rv, eu, ev, [(su, sv), (eu, ev)] AS way, su * ev - eu * sv AS area FROM edge
+  UNION ALL
+  SELECT ru, rv, e.eu, e.ev, list_append(way, (e.eu, e.ev)), area + e.su * e.ev - e.eu * e.sv FROM walk JOIN edge e ON walk.eu = e.su AND walk.ev = e.sv
+  WHERE (walk.eu, walk.ev) > (ru, rv)),
+ring AS (SELECT ru, rv, way, area FROM walk WHERE eu = ru AND ev = rv)"""
+
+
+@query("hex_rings", f"""WITH RECURSIVE {POINTS}, {_RINGS}
+SELECT ru AS first_u, rv AS first_v, CAST(len(way) - 1 AS BIGINT) AS edges, area < 0 AS hole,
+  array_to_string(list_transform(way, lambda p: p[1] || ' ' || p[2]), ',') AS corners FROM ring""")
+def hex_rings(spark, sf_dir):
+    rings = pts.hex_rings(pts.hexbin(points(spark, sf_dir)))
+    corners = F.array_join(F.transform("corners", lambda p: F.concat_ws(" ", p["u"], p["v"])), ",")
+    return rings.select("first_u", "first_v", "edges", "hole", corners.alias("corners"))
+
+
+@query("hex_outline", f"""WITH RECURSIVE {POINTS}, {_RINGS}
+SELECT count(*) FILTER (WHERE area > 0) AS polygons, count(*) FILTER (WHERE area < 0) AS holes, count(*) AS all_rings,
+  round((SELECT count(*) FROM hexes) * 150 * sqrt(CAST(3 AS DOUBLE)), 4) AS area FROM ring""")
+def hex_outline(spark, sf_dir):
+    """Polygons with their holes; the area that their corners enclose is that of the occupied hexagons."""
+    shapes = pts.hex_polygons(pts.hex_rings(pts.hexbin(points(spark, sf_dir))))
+    closed = F.regexp_count("wkt", F.lit(r"\(\d|\(-"))
+    return shapes.agg(
+        F.count("*").alias("polygons"), F.sum("holes").alias("holes"), F.sum(closed).alias("all_rings"), F.round(F.sum("area"), 4).alias("area"))
+
+
 @query("axis_swap", f"""WITH {POINTS}
 SELECT source_file, round(min(Y),6) AS min_x, round(max(X),6) AS max_y FROM v_points GROUP BY source_file""")
 def axis_swap(spark, sf_dir):
@@ -170,7 +202,7 @@ def axis_swap(spark, sf_dir):
     )
 
 
-@query("lod", f"""WITH {POINTS}, single AS (
+_LOD = """single AS (
   SELECT X, Y, Z, Intensity, Classification, count(*) AS copies, CAST(floor(Z * 1000) AS BIGINT) * 7919 % 104729 AS p
   FROM v_points GROUP BY 1, 2, 3, 4, 5),
 r AS (SELECT *,
@@ -180,14 +212,27 @@ r AS (SELECT *,
   row_number() OVER (PARTITION BY floor(X/8), floor(Y/8), floor(Z/8) ORDER BY p, X, Y, Z, Intensity, Classification) AS r3 FROM single),
 placed AS (SELECT *, CASE WHEN r0 = 1 THEN 0 WHEN r1 = 1 THEN 1 WHEN r2 = 1 THEN 2 WHEN r3 = 1 THEN 3 ELSE 4 END AS level FROM r),
 shares AS (SELECT level, CASE WHEN level < 4 THEN 1 ELSE copies END AS n, Z FROM placed
-  UNION ALL SELECT 4, copies - 1, Z FROM placed WHERE level < 4 AND copies > 1)
+  UNION ALL SELECT 4, copies - 1, Z FROM placed WHERE level < 4 AND copies > 1)"""
+_BUDGET = 2000
+
+
+def _leveled(spark, sf_dir):
+    priority = F.floor(F.col("Z") * 1000).cast("bigint") * 7919 % 104729
+    return pts.assign_lod(points(spark, sf_dir), 4, 64.0, priority, ["X", "Y", "Z", "Intensity", "Classification"])
+
+
+@query("lod", f"""WITH {POINTS}, {_LOD}
 SELECT CAST(level AS INTEGER) AS level, CAST(sum(n) AS BIGINT) AS points, round(max(Z),6) AS max_z FROM shares GROUP BY level""")
 def lod(spark, sf_dir):
-    priority = F.floor(F.col("Z") * 1000).cast("bigint") * 7919 % 104729
-    leveled = pts.assign_lod(
-        points(spark, sf_dir), 4, 64.0, priority, ["X", "Y", "Z", "Intensity", "Classification"]
-    )
-    return leveled.groupBy("level").agg(F.sum("copies").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
+    return _leveled(spark, sf_dir).groupBy("level").agg(F.sum("copies").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
+
+
+@query("lod_budget", f"""WITH {POINTS}, {_LOD}, sizes AS (SELECT level, sum(n) AS n FROM shares GROUP BY level),
+upto AS (SELECT level, sum(n) OVER (ORDER BY level) AS total FROM sizes)
+SELECT CAST(level AS INTEGER) AS level, CAST(sum(n) AS BIGINT) AS points FROM shares WHERE level IN (SELECT level FROM upto WHERE total <= {_BUDGET}) GROUP BY level""")
+def lod_budget(spark, sf_dir):
+    kept = pts.within_budget(_leveled(spark, sf_dir), _BUDGET)
+    return kept.groupBy("level").agg(F.sum("copies").alias("points"))
 
 
 @query("points_json", f"""WITH {POINTS}, top AS (
@@ -202,13 +247,18 @@ def points_json(spark, sf_dir):
     return rounded(text.select(record.alias("p")).select("p.*"))
 
 
-@query("sample_points", "SELECT least(50000, count(*)) AS sampled, TRUE AS all_known FROM lineitem")
+_SAMPLE = 20000
+
+
+@query("sample_points", f"""WITH {POINTS}, marked AS (
+  SELECT *, md5(concat_ws('|', CAST(floor(X * 1000) AS BIGINT), CAST(floor(Y * 1000) AS BIGINT), CAST(floor(Z * 1000) AS BIGINT), source_file,
+    row_number() OVER (PARTITION BY X, Y, Z, Intensity, Classification, source_file), '7')) AS h FROM v_points)
+SELECT {_POINT_COLUMNS}, count(*) AS points FROM (SELECT * FROM marked ORDER BY h LIMIT {_SAMPLE}) GROUP BY ALL""")
 def sample_points(spark, sf_dir):
-    cloud = points(spark, sf_dir)
-    sample = pts.sample_points(cloud)
-    known = cloud.select("X", "Y", "Z").distinct()
-    strangers = sample.join(known, ["X", "Y", "Z"], "left_anti").agg(F.count("*").alias("n")).scalar()
-    return sample.agg(F.count("*").alias("sampled")).withColumn("all_known", strangers == 0)
+    cloud = points(spark, sf_dir).select("X", "Y", "Z", "Intensity", "Classification", "source_file")
+    name = F.concat_ws("|", *(F.floor(F.col(c) * 1000).cast("string") for c in "XYZ"), "source_file")
+    sample = pts.sample_points(cloud, _SAMPLE, 7, name)
+    return _shown(sample).groupBy("X", "Y", "Z", "Intensity", "source_file").agg(F.count("*").alias("points"))
 
 
 @query("relative_height", f"""WITH {POINTS}, ground AS (SELECT quantile_cont(Z, 0.05) AS g FROM v_points)
@@ -236,17 +286,20 @@ def height_histogram(spark, sf_dir):
 
 # The SQL side meets 3 x 3 cells of 40 m; every ground point within 40 m is seen, and the
 # greatest distance it finds (returned in both results) is far below that.
-@query("nearest_ground", f"""WITH {POINTS}, a AS (
+_NEAREST = """a AS (
   SELECT X, Y, Z, floor(X/40) AS cx, floor(Y/40) AS cy FROM v_points WHERE Classification = 6),
 g AS (SELECT X AS gx, Y AS gy, min(Z) AS gz, floor(X/40) AS cx, floor(Y/40) AS cy FROM v_points WHERE Classification = 2 GROUP BY 1, 2, 4, 5),
 o AS (SELECT * FROM (VALUES (-1), (0), (1)) t(i)), probes AS (
   SELECT a.X, a.Y, a.cx + i.i AS cx, a.cy + j.i AS cy FROM (SELECT DISTINCT X, Y, cx, cy FROM a) a, o i, o j),
 best AS (SELECT X, Y, min(((X-gx)*(X-gx) + (Y-gy)*(Y-gy), gx, gy, gz)) AS n FROM probes JOIN g USING (cx, cy) GROUP BY X, Y),
-h AS (SELECT a.Z - n[4] AS height, sqrt(n[1]) AS distance FROM a JOIN best USING (X, Y))
+h AS (SELECT a.Z - n[4] AS height, sqrt(n[1]) AS distance FROM a JOIN best USING (X, Y))"""
+
+
+@query("nearest_ground", f"""WITH {POINTS}, {_NEAREST}
 SELECT count(*) AS points, round(min(height),6) AS min_height, round(max(height),6) AS max_height,
        round(avg(height),4) AS mean_height, count(*) FILTER (WHERE height > 10) AS tall, round(max(distance),6) AS max_distance FROM h""")
 def nearest_ground(spark, sf_dir):
-    h = heights.building_heights(points(spark, sf_dir), leaf=1.0)
+    h = heights.building_heights(points(spark, sf_dir))
     return h.agg(
         F.count("*").alias("points"), F.round(F.min("height"), 6).alias("min_height"),
         F.round(F.max("height"), 6).alias("max_height"), F.round(F.avg("height"), 4).alias("mean_height"),
@@ -254,6 +307,14 @@ def nearest_ground(spark, sf_dir):
     )
 
 
+@query("building_summary", f"""WITH {POINTS}, {_NEAREST}
+SELECT count(*) AS points, round(min(height),6) AS min_height, round(max(height),6) AS max_height,
+       round(avg(height),4) AS mean_height, count(*) FILTER (WHERE height > 10) AS tall FROM h""")
+def building_summary(spark, sf_dir):
+    told = rounded(heights.building_height_summary(heights.building_heights(points(spark, sf_dir))))
+    return told.withColumn("mean_height", F.round("mean_height", 4))
+
+
 @query("cross_section", f"""WITH {POINTS}, series AS (
   SELECT X AS x, avg(Z) AS y FROM v_points WHERE Y BETWEEN -49052 AND -49048 AND X BETWEEN 51200 AND 51600 AND Classification = 2 GROUP BY X),
 samples AS (SELECT CAST(51200 + i * 10 AS DOUBLE) AS x, i FROM range(0, 40) t(i)),

@@ -10,6 +10,7 @@ from ..functions import crs, geom, text
 from ..operators import catalog_build as build
 from ..operators import points as pts
 from ..operators import quality, search, sync
+from ..session import scratch_dir
 from .registry import query, rounded
 from .views import ITEMS, META, POINTS, items, meta, points, table
 
@@ -264,6 +265,23 @@ def polygon_box(spark, sf_dir):
     )
 
 
+@query("search_polygon", f"""WITH {ITEMS}, c AS (SELECT id, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM v_items)
+SELECT id, cx IS NULL AS unlocated FROM c WHERE cx IS NULL OR
+  greatest(greatest(138.7::DOUBLE - cx, cx - 138.75::DOUBLE), 0::DOUBLE) + greatest(greatest(35.35::DOUBLE - cy, cy - 35.42::DOUBLE), 0::DOUBLE) <= 0.01::DOUBLE""")
+def search_polygon(spark, sf_dir):
+    """Diamonds as WKT in a located index; a box request meets them by their shape."""
+    cx, cy, r = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2, F.lit(0.01)
+    ring = F.array(F.array(cx + r, cy), F.array(cx, cy + r), F.array(cx - r, cy), F.array(cx, cy - r), F.array(cx + r, cy))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(ring)).alias("polygons"))
+    shaped = items(spark, sf_dir).withColumn("geometry_wkt", F.when(cx.isNotNull(), geom.to_wkt(shape)))
+    boxed = shaped.withColumns({"minx": cx - r, "maxx": cx + r, "miny": cy - r, "maxy": cy + r})
+    path = scratch_dir(spark, "located")
+    search.write_located(boxed, path)
+    index = spark.read.parquet(path)
+    hits = index.filter(search.matches(index, bbox=(138.7, 35.35, 138.75, 35.42)))
+    return hits.select("id", F.col("minx").isNull().alias("unlocated"))
+
+
 @query("wkt_roundtrip", f"""WITH {ITEMS} SELECT id, round(minx,8) AS minx, round(miny,8) AS miny, round(maxx,8) AS maxx, round(maxy,8) AS maxy,
   'MULTIPOLYGON' AS head, CAST(2 AS INTEGER) AS parts FROM v_items WHERE minx IS NOT NULL""")
 def wkt_roundtrip(spark, sf_dir):

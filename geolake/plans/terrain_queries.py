@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import color
 from ..operators import raster, terrain
 from .registry import NUDGE, query, rounded
-from .views import POINTS, cells, cells_sql, grid_sql, header, header_sql, points, raster_sql, spread
+from .views import POINTS, cells, cells_sql, grid_sql, header, header_sql, points, raster_sql
 
 RES = 2.0
 AREA = RES * RES
@@ -44,11 +44,8 @@ for _kind in raster.PRODUCTS:
 SELECT CAST(height - 1 - srow AS BIGINT) AS "row", CAST(col AS BIGINT) AS col, count(*) AS points, round(max(Z),6) AS max_z FROM near
 WHERE dx*dx + dy*dy <= 2.0::DOUBLE + 1e-9 AND col >= 0 AND col < width AND srow >= 0 AND srow < height GROUP BY 1, 2""")
 def raster_radius(spark, sf_dir):
-    cloud = spread(points(spark, sf_dir))
-    top = raster.rasterize(cloud, "dem", RES, mode="radius").withColumnRenamed("value", "max_z")
-    count = raster.rasterize(cloud, "density", RES, mode="radius").withColumnRenamed("value", "points")
-    both = top.join(count, ["raster_id", "row", "col"])
-    return both.select("row", "col", F.col("points").cast("bigint").alias("points"), F.round("max_z", 6).alias("max_z"))
+    both = raster.rasterize_products(points(spark, sf_dir), ("dem", "density"), RES, mode="radius")
+    return both.select("row", "col", F.col("density").cast("bigint").alias("points"), F.round("dem", 6).alias("max_z"))
 
 
 @query("raster_by_file", f"""WITH {POINTS}, hdr AS (
@@ -74,23 +71,26 @@ _LEVELS = "(VALUES (1), (2), (3), (5), (10)) AS r(rise)"
 
 @query("flood", f"""WITH {CELLS}, base AS (SELECT avg(value) AS b FROM cells), levels AS (
   SELECT rise, b + rise AS level FROM base, {_LEVELS})
-SELECT round(level,4) AS level, CAST(rise AS DOUBLE) AS rise, count(*) FILTER (WHERE value < level) AS cells,
+SELECT round(level + {NUDGE},4) AS level, CAST(rise AS DOUBLE) AS rise, count(*) FILTER (WHERE value < level) AS cells,
        CAST(count(*) FILTER (WHERE value < level) * 4 AS DOUBLE) AS area,
-       round(sum(CASE WHEN value < level THEN level - value ELSE 0 END) * 4, 2) AS volume,
-       round(max(CASE WHEN value < level THEN level - value ELSE 0 END), 4) AS max_depth
+       round(sum(CASE WHEN value < level THEN level - value ELSE 0 END) * 4 + {NUDGE}, 2) AS volume,
+       round(max(CASE WHEN value < level THEN level - value ELSE 0 END) + {NUDGE}, 4) AS max_depth
 FROM cells, levels GROUP BY level, rise""")
 def flood(spark, sf_dir):
-    out = terrain.flood(cells(spark, sf_dir, RES), AREA).drop("raster_id")
-    return rounded(out, 4).withColumn("volume", F.round("volume", 2))
+    out = terrain.flood(cells(spark, sf_dir, RES), AREA)
+    return out.select(
+        "rise", "cells", "area", F.round(F.col("level") + NUDGE, 4).alias("level"),
+        F.round(F.col("volume") + NUDGE, 2).alias("volume"), F.round(F.col("max_depth") + NUDGE, 4).alias("max_depth"),
+    )
 
 
 @query("flood_absolute", f"""WITH {CELLS}
 SELECT CAST(level AS DOUBLE) AS level, count(*) FILTER (WHERE value < level) AS cells,
-       round(sum(CASE WHEN value < level THEN level - value ELSE 0 END) * 4, 2) AS volume
+       round(sum(CASE WHEN value < level THEN level - value ELSE 0 END) * 4 + {NUDGE}, 2) AS volume
 FROM cells, (VALUES (600), (640), (680), (720), (760)) AS l(level) GROUP BY level""")
 def flood_absolute(spark, sf_dir):
     out = terrain.flood(cells(spark, sf_dir, RES), AREA, levels=(600, 640, 680, 720, 760))
-    return out.select("level", "cells", F.round("volume", 2).alias("volume"))
+    return out.select("level", "cells", F.round(F.col("volume") + NUDGE, 2).alias("volume"))
 
 
 @query("flood_depth", f"""WITH {GRID}
@@ -101,11 +101,11 @@ def flood_depth(spark, sf_dir):
 
 
 @query("cut_fill", f"""WITH {CELLS}
-SELECT round(sum(greatest(value - 700::DOUBLE, 0::DOUBLE)) * 4, 2) AS cut,
-       round(sum(greatest(700::DOUBLE - value, 0::DOUBLE)) * 4, 2) AS fill,
-       round(sum(greatest(value - 700::DOUBLE, 0::DOUBLE)) * 4 - sum(greatest(700::DOUBLE - value, 0::DOUBLE)) * 4, 2) AS net FROM cells""")
+SELECT round(sum(greatest(value - 700::DOUBLE, 0::DOUBLE)) * 4 + {NUDGE}, 2) AS cut,
+       round(sum(greatest(700::DOUBLE - value, 0::DOUBLE)) * 4 + {NUDGE}, 2) AS fill,
+       round(sum(greatest(value - 700::DOUBLE, 0::DOUBLE)) * 4 - sum(greatest(700::DOUBLE - value, 0::DOUBLE)) * 4 + {NUDGE}, 2) AS net FROM cells""")
 def cut_fill(spark, sf_dir):
-    return rounded(terrain.cut_fill(cells(spark, sf_dir, RES), 700.0, AREA).drop("raster_id"), 2)
+    return rounded(terrain.cut_fill(cells(spark, sf_dir, RES), 700.0, AREA).drop("raster_id"), 2, NUDGE)
 
 
 _DX = "CASE WHEN col = 0 THEN (e - value)/2::DOUBLE WHEN col = width - 1 THEN (value - w)/2::DOUBLE ELSE (e - w)/4::DOUBLE END"
@@ -211,8 +211,18 @@ m AS (SELECT a."row", a.col, a.width, a.height, a.v,
   LEFT JOIN dense ne ON ne."row" = a."row"-1 AND ne.col = a.col+1 LEFT JOIN dense w ON w."row" = a."row" AND w.col = a.col-1
   LEFT JOIN dense e ON e."row" = a."row" AND e.col = a.col+1 LEFT JOIN dense sw ON sw."row" = a."row"+1 AND sw.col = a.col-1
   LEFT JOIN dense s ON s."row" = a."row"+1 AND s.col = a.col LEFT JOIN dense se ON se."row" = a."row"+1 AND se.col = a.col+1),
-x AS (SELECT *, ((nw + 2*w + sw) - (ne + 2*e + se)) / 16::DOUBLE AS gx, ((sw + 2*s + se) - (nw + 2*n + ne)) / 16::DOUBLE AS gy FROM m
-  WHERE v IS NOT NULL AND "row" > 0 AND "row" < height - 1 AND col > 0 AND col < width - 1),
+sides AS (SELECT "row", col, width, height, v, n, s,
+  CASE WHEN col > 0 THEN nw WHEN "row" IN (0, height - 1) THEN n ELSE 2*n - ne END AS nw,
+  CASE WHEN col > 0 THEN w WHEN "row" IN (0, height - 1) THEN v ELSE 2*v - e END AS w,
+  CASE WHEN col > 0 THEN sw WHEN "row" IN (0, height - 1) THEN s ELSE 2*s - se END AS sw,
+  CASE WHEN col < width - 1 THEN ne WHEN "row" IN (0, height - 1) THEN n ELSE 2*n - nw END AS ne,
+  CASE WHEN col < width - 1 THEN e WHEN "row" IN (0, height - 1) THEN v ELSE 2*v - w END AS e,
+  CASE WHEN col < width - 1 THEN se WHEN "row" IN (0, height - 1) THEN s ELSE 2*s - sw END AS se FROM m WHERE v IS NOT NULL),
+full_grid AS (SELECT "row", col, w, e,
+  CASE WHEN "row" > 0 THEN nw ELSE 2*w - sw END AS nw, CASE WHEN "row" > 0 THEN n ELSE 2*v - s END AS n,
+  CASE WHEN "row" > 0 THEN ne ELSE 2*e - se END AS ne, CASE WHEN "row" < height - 1 THEN sw ELSE 2*w - nw END AS sw,
+  CASE WHEN "row" < height - 1 THEN s ELSE 2*v - n END AS s, CASE WHEN "row" < height - 1 THEN se ELSE 2*e - ne END AS se FROM sides),
+x AS (SELECT *, ((nw + 2*w + sw) - (ne + 2*e + se)) / 16::DOUBLE AS gx, ((sw + 2*s + se) - (nw + 2*n + ne)) / 16::DOUBLE AS gy FROM full_grid),
 light AS (SELECT *, (sin(radians(45)) - cos(radians(45)) * 1.5::DOUBLE * sqrt(gx*gx + gy*gy) * sin(atan2(gy, gx) - radians(315)))
   / sqrt(1 + 2.25::DOUBLE * (gx*gx + gy*gy)) AS c FROM x)"""
 
@@ -221,8 +231,7 @@ light AS (SELECT *, (sin(radians(45)) - cos(radians(45)) * 1.5::DOUBLE * sqrt(gx
 SELECT "row", col, round(CASE WHEN c <= 0 THEN 1 ELSE 1 + 254 * c END, 4) AS hillshade FROM light""")
 def hillshade(spark, sf_dir):
     shaded = terrain.with_hillshade(_near(spark, sf_dir), RES)
-    inner = shaded.filter("row > 0 AND row < height - 1 AND col > 0 AND col < width - 1 AND value IS NOT NULL")
-    return rounded(inner.select("row", "col", "hillshade"), 4)
+    return rounded(shaded.filter("value IS NOT NULL").select("row", "col", "hillshade"), 4)
 
 
 @query("overview", f"WITH {CELLS} " + " UNION ALL ".join(

@@ -15,15 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """For operators that multiply rows: use all cores on a table that arrives in few splits.
-
-    A table in at least as many splits as cores, as any large one is, passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     return table(spark, sf_dir, "lineitem").select(

@@ -173,21 +173,26 @@ def infer_collection(items: DataFrame, collections: DataFrame) -> DataFrame:
     return items.filter(F.col("collection").isNotNull()).unionByName(found.select(*items.columns))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, collections: DataFrame | None = None) -> DataFrame:
     """One document per (type, collection, id): originals before conflict copies, then by path.
 
-    An item that names no collection goes by its folder's parent, where its collection is looked for. Documents
-    without an id are all kept.
+    An item that names no collection goes by the one that ``infer_collection`` would find for it among ``collections``, so a copy that
+    names it and one that leaves it out are one item; without one it goes by its folder's parent. Documents without an id are
+    all kept.
 
     The winner is a partially aggregated minimum of short keys; the documents themselves are
     only touched by the semi join, so many copies of one document do not meet in one task.
     """
     d = F.from_json("doc", "id string, collection string")
-    keyed = docs.withColumn("_d", d)
+    folder = F.when(F.col("type") == "Feature", F.concat(F.lit("/"), text.parent(text.parent(F.col("path")))))
     rank = F.struct(F.col("path").contains(CONFLICT_MARK).alias("copy"), F.length("path").alias("n"), F.col("path").alias("path"))
-    home = F.coalesce("_d.collection", F.when(F.col("type") == "Feature", F.concat(F.lit("/"), text.parent(text.parent(F.col("path"))))))
-    unnamed = F.when(F.col("_d.id").isNull(), F.col("path"))
-    best = keyed.groupBy("type", home, F.col("_d.id"), unnamed).agg(F.min(rank).alias("_b"))
+    keyed = docs.select("type", d["id"].alias("_id"), d["collection"].alias("_named"), folder.alias("_folder"), rank.alias("_rank"))
+    if collections is not None:
+        key = F.when(F.col("_named").isNull(), F.regexp_replace(F.concat("_folder", F.lit("/collection.json")), "^/+", "/"))
+        known = collections.select(F.regexp_replace(F.concat(F.lit("/"), "source_key"), "^/+", "/").alias("_key"), F.col("id").alias("_found"))
+        keyed = keyed.withColumn("_key", key).join(known, "_key", "left").withColumn("_named", F.coalesce("_named", "_found"))
+    unnamed = F.when(F.col("_id").isNull(), F.col("_rank.path"))
+    best = keyed.groupBy("type", F.coalesce("_named", "_folder"), "_id", unnamed).agg(F.min("_rank").alias("_b"))
     return docs.join(best.select(F.col("_b.path").alias("path")), "path", "left_semi")
 
 
@@ -246,11 +251,10 @@ def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def build_index(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scanned documents -> items, collections and catalogs, one per entity."""
-    chosen = keep_one(list_objects(docs).filter(F.col("type").isNotNull()))
-    catalogs, _, _ = split_documents(chosen)
-    collections = flatten_collections(chosen)
-    return infer_collection(flatten_items(chosen), collections), collections, catalogs
+    """Scanned documents -> items, collections and catalogs, one per entity: collections first, as items may take theirs from them."""
+    catalogs, groups, features = split_documents(list_objects(docs))
+    collections = flatten_collections(keep_one(groups))
+    return infer_collection(flatten_items(keep_one(features, collections)), collections), collections, keep_one(catalogs)
 
 
 def union_catalogs(*tables: DataFrame) -> DataFrame:
@@ -271,11 +275,19 @@ def union_catalogs(*tables: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Virtual point cloud manifest -> one row per member cloud."""
+    """Virtual point cloud manifest -> one row per member cloud: one document, or a member per line (``write_manifest``)."""
+    if files.exists(spark, f"{path}/_members"):
+        return spark.read.schema("assets struct<data:struct<href:string>>").json(f"{path}/_members").select(F.col("assets.data.href").alias("href"))
     doc = spark.read.schema(schemas.MANIFEST).json(path, multiLine=True)
     return doc.select(F.explode("features").alias("f")).select(F.col("f.assets.data.href").alias("href"))
 
 
+def write_manifest(members: DataFrame, path: str) -> None:
+    """A manifest of clouds (href) with a line for each, so that no task holds all of them."""
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.struct("href").alias("data")).alias("assets"))
+    members.select(feature.alias("f")).select("f.*").write.mode("overwrite").json(f"{path}/_members")
+
+
 def read_processing_metadata(
     spark: SparkSession, root: str, glob: str = "*.metadata.json", multi_line: bool = True
 ) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -24,16 +27,30 @@ def read_small(spark: SparkSession, path: str) -> str | None:
     return rows[0][0].strip() if rows else None
 
 
-def write_small(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target, then rename over it, so readers see the old or the new text."""
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none where it is absent."""
+    fs, target = _fs(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with its whole text, unless one of that name is there: then nothing changes and the answer is no.
+
+    The text is written beside the target and renamed without overwriting, which file systems made for clusters do in one step.
+    """
     fs, target = _fs(spark, path)
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop.fs
-    beside = hadoop.Path(path + ".next")
+    beside = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
     stream = fs.create(beside, True)
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
-    rename = getattr(hadoop, "Options$Rename")
-    options = context._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    hadoop.FileContext.getFileContext(target.toUri(), context._jsc.hadoopConfiguration()).rename(beside, target, options)
+    options = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), context._jsc.hadoopConfiguration()).rename(beside, target, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        fs.delete(beside, False)
+        return False
+    return True

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import morton
 from ..operators.points import crop
+from . import files
 
 BLOCK = 512
 COMPRESSIONS = ("zstd", "snappy", "gzip", "lz4", "none")
-MORTON_BITS = 20
+#: Folder of a clustered table's zone map; Spark's readers pass over names that begin like this.
+ZONES = "_zones"
 
 
 def read_points(
@@ -21,10 +24,17 @@ def read_points(
 ) -> DataFrame:
     """Point table; ``override_epsg`` fills in a missing CRS, ``bbox`` reads only that region.
 
-    The box becomes comparisons on X and Y, which Parquet checks against the range of every
-    row group; on a clustered table (``write_clustered``) that skips most of the file.
+    A clustered table (``write_clustered``) has a zone map, which names the files that can hold points of the box, and no other is
+    opened or even listed. In these, and in a table without one, the box is a pair of comparisons on X and Y, which Parquet
+    checks against the range of every row group.
     """
-    points = spark.read.schema(schema).parquet(path)
+    paths = [path]
+    if bbox is not None and files.exists(spark, f"{path}/{ZONES}"):
+        west, south, east, north = bbox
+        zones = spark.read.parquet(f"{path}/{ZONES}")
+        met = zones.filter((F.col("minx") <= east) & (F.col("maxx") >= west) & (F.col("miny") <= north) & (F.col("maxy") >= south))
+        paths = [f"{path}/{r.file}" for r in met.select("file").collect()]
+    points = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
     if bbox is not None:
         points = crop(points, bbox)
     if override_epsg is not None:
@@ -38,56 +48,54 @@ def write_points(points: DataFrame, path: str, epsg: int | None = None) -> None:
     tagged.write.mode("overwrite").parquet(path)
 
 
-def _spread(value: Column) -> Column:
-    """Bits of a 20-bit number moved apart, one free bit between each."""
-    masks = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
-             (2, 0x3333333333333333), (1, 0x5555555555555555))
-    out = value.cast("bigint")
-    for shift, mask in masks:
-        out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask))
-    return out
+def write_clustered(points: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Point table in spatial order, and its zone map: the box and number of points of each file.
 
-
-def morton_key(x: Column, y: Column, cell_size: float) -> Column:
-    """Interleaved cell coordinates: near cells get near keys."""
-    middle = 1 << (MORTON_BITS - 1)
-    def bounded(v: Column) -> Column:
-        shifted = F.floor(v / cell_size) + middle
-        return F.least(F.greatest(shifted, F.lit(0)), F.lit((1 << MORTON_BITS) - 1))
-
-    return _spread(bounded(x)).bitwiseOR(F.shiftleft(_spread(bounded(y)), 1))
-
-
-def write_clustered(points: DataFrame, path: str, cell_size: float = 10.0, partitions: int | None = None) -> None:
-    """Point table in spatial order: range partitioned by Morton key, sorted inside.
-
-    X, Y and Z follow the key in the range, so one crowded cell can span partitions.
+    Rows are range partitioned and sorted along a Z curve through the box of all points, which tells places apart as far as
+    doubles do. X, Y and Z follow, so one crowded place can span partitions. Points without a place come first.
     """
-    keyed = points.withColumn("_m", morton_key(F.col("X"), F.col("Y"), cell_size))
-    keys = [F.col(c) for c in ("_m", "X", "Y", "Z")]
+    spark = points.sparkSession
+    box = points.filter("abs(X) < double('infinity') AND abs(Y) < double('infinity')").agg(F.min("X"), F.min("Y"), F.max("X"), F.max("Y")).first()
+    low_x, low_y, high_x, high_y = (v or 0.0 for v in box)
+    high, low = morton.halves(F.col("X"), F.col("Y"), (low_x, low_y), max(high_x - low_x, high_y - low_y))
+    keyed = points.withColumns({"_h": high, "_l": low})
+    keys = [F.col(c) for c in ("_h", "_l", "X", "Y", "Z")]
     spread = keyed.repartitionByRange(partitions, *keys) if partitions else keyed.repartitionByRange(*keys)
-    spread.sortWithinPartitions(*keys).drop("_m").write.mode("overwrite").parquet(path)
+    spread.sortWithinPartitions(*keys).drop("_h", "_l").write.mode("overwrite").parquet(path)
+    zones = spark.read.schema("X double, Y double").parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        *(fold(c).alias(f"{n}{c.lower()}") for c in ("X", "Y") for n, fold in (("min", F.min), ("max", F.max))), F.count("*").alias("points"))
+    zones.write.mode("overwrite").parquet(f"{path}/{ZONES}")
 
 
 def write_raster(cells: DataFrame, header: DataFrame, path: str, compression: str = "zstd", block: int = BLOCK) -> None:
-    """Cells in square blocks (one folder each) and the headers beside them."""
+    """Cells in square blocks, a row each, and the headers beside them.
+
+    A block holds the places of its cells, row by row, and their values. Blocks are ordered along a Z curve, so files follow the size of
+    the raster and a file covers a compact part of it.
+    """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {COMPRESSIONS}")
-    keys = ["raster_id", "block_row", "block_col"]
-    blocked = cells.withColumns({
-        "block_row": F.floor(F.col("row") / block).cast("int"), "block_col": F.floor(F.col("col") / block).cast("int"),
-    })
-    (
-        blocked.repartition(*keys).sortWithinPartitions(*keys, "row", "col")
-        .write.mode("overwrite").option("compression", compression).partitionBy(*keys).parquet(f"{path}/cells")
-    )
+    at = F.pmod("row", F.lit(block)) * block + F.pmod("col", F.lit(block))
+    blocked = cells.groupBy(
+        "raster_id", F.floor(F.col("row") / block).cast("int").alias("block_row"), F.floor(F.col("col") / block).cast("int").alias("block_col")
+    ).agg(F.sort_array(F.collect_list(F.struct(at.cast("int").alias("at"), F.col("value").cast("double").alias("value")))).alias("_v"))
+    rows = blocked.select(
+        "raster_id", "block_row", "block_col", F.lit(block).alias("block"), F.col("_v.at").alias("places"), F.col("_v.value").alias("values"))
+    order = ["raster_id", "_z"]
+    near = rows.withColumn("_z", morton.interleave(F.col("block_row"), F.col("block_col")))
+    near.repartitionByRange(*order).sortWithinPartitions(*order).drop("_z").write.mode("overwrite").option("compression", compression).parquet(f"{path}/blocks")
     header.write.mode("overwrite").parquet(f"{path}/header")
 
 
 def read_raster(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Cells and headers. Block columns stay, so a window filter on them prunes folders."""
-    schema = "row int, col int, value double, raster_id string, block_row int, block_col int"
-    return spark.read.schema(schema).parquet(f"{path}/cells"), spark.read.parquet(f"{path}/header")
+    """Cells and headers. Block columns stay, so a window filter on them skips the blocks outside."""
+    schema = "raster_id string, block_row int, block_col int, block int, places array<int>, values array<double>"
+    blocks = spark.read.schema(schema).parquet(f"{path}/blocks")
+    cells = blocks.select("raster_id", "block_row", "block_col", "block", F.inline(F.arrays_zip("places", "values"))).select(
+        (F.col("block_row") * F.col("block") + F.floor(F.col("places") / F.col("block"))).cast("int").alias("row"),
+        (F.col("block_col") * F.col("block") + F.col("places") % F.col("block")).cast("int").alias("col"),
+        F.col("values").alias("value"), "raster_id", "block_row", "block_col")
+    return cells, spark.read.parquet(f"{path}/header")
 
 
 def block_window(cells: DataFrame, rows: tuple[int, int], cols: tuple[int, int], block: int = BLOCK) -> DataFrame:
