@@ -95,12 +95,13 @@ def nearest_join(
     places, grounds = _in_leaves(places, *frame), _in_leaves(grounds, *frame)
     lefts, rights = _leaves(places, "l"), _leaves(grounds, "r")
     depth = lefts.select("_cuts").unionByName(rights.select("_cuts")).agg(F.max("_cuts")).first()[0] or 0
-    # All places lie in the one root; the first level holds 256 cells a side at most, which all meet.
-    root = morton.cell(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(0))
-    pairs, above = left.sparkSession.range(1).select(root.alias("_pl"), root.alias("_pr")), 0
-    for level in range(min(FIRST, depth), depth + 1):
-        met = pairs.join(_nodes(lefts, level, above, "l"), "_pl").join(_nodes(rights, level, above, "r"), "_pr")
-        pairs, above = _promising(met, "l").select(F.col("l").alias("_pl"), F.col("r").alias("_pr")), level
+    # The first level holds 256 cells a side at most; all of them lie in the one root, and all meet.
+    level = min(FIRST, depth)
+    lowest, nearest = _nodes(lefts, level, 0, "l"), _nodes(rights, level, 0, "r")
+    pairs = _promising(lowest.join(nearest, F.col("_pl") == F.col("_pr")), "l").select(F.col("l").alias("_pl"), F.col("r").alias("_pr"))
+    for below in range(level + 1, depth + 1):
+        met = pairs.join(_nodes(lefts, below, below - 1, "l"), "_pl").join(_nodes(rights, below, below - 1, "r"), "_pr")
+        pairs = _promising(met, "l").select(F.col("l").alias("_pl"), F.col("r").alias("_pr"))
     leaf = morton.cell(F.col("_h"), F.col("_l"), F.col("_cuts"))
     own = places.select(*(F.col(c).alias(f"l{e}{c.lower()}") for c in ("X", "Y") for e in "az"), leaf.alias("_pl"))
     met = pairs.join(own, "_pl").join(rights.withColumnRenamed("_leaf", "_pr"), "_pr")
@@ -151,8 +152,8 @@ SEGMENT_BITS = 20
 def _carried(strips: DataFrame, keys: list[str], bits: int = SEGMENT_BITS) -> DataFrame:
     """keys, _s, _before, _after: the last filled strip before and the first after each strip, whatever lies between.
 
-    Two levels: inside segments of 2^bits strips, and over segments, which again are cut into runs of as many; beyond a run of
-    runs there are only keys. So no window holds more than 2^bits rows of a key.
+    Two levels: inside segments of 2^bits strips, and over segments, of which as many make a run. So no window holds more than
+    2^bits rows of a key, and strips within 2^(2 bits - 1) of zero, half a million millions by default, see each other.
     """
     def both(segment: Column, place: str, first: str, last: str) -> tuple[Column, Column]:
         order = Window.partitionBy(*keys, segment).orderBy(place)

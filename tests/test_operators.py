@@ -3,6 +3,7 @@
 import datetime
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -184,14 +185,20 @@ def cloud(spark, rows):
     return spark.createDataFrame(rows, "X double, Y double, Z double, Classification int")
 
 
-@pytest.mark.parametrize("leaf", [0.3, 5.0])
-def test_nearest_against_brute_force(spark, leaf):
+@pytest.mark.parametrize("most", [1, 16])
+def test_nearest_against_brute_force(spark, most):
     rng = random.Random(3)
     # a crowded cluster with equal places, far singles, and an empty middle
     ground = [(round(rng.gauss(50, 0.2), 1), round(rng.gauss(-20, 0.2), 1), rng.random(), 2) for _ in range(300)]
     ground += [(rng.uniform(-200, 200), rng.uniform(-200, 200), rng.random(), 2) for _ in range(12)]
     building = [(rng.uniform(-150, 150), rng.uniform(-150, 150), 5.0, 6) for _ in range(120)] + [(ground[0][0], ground[0][1], 9.0, 6)] * 3
-    got = heights.building_heights(cloud(spark, ground + building), leaf).collect()
+    # a leaf far from everything, one place beyond what any cell size would suit, and rows without a place
+    ground += [(1e9, 1e9, 0.5, 2), (50.0 + 1e-9, -20.0, 0.1, 2)]
+    odd = [(float("nan"), 1.0, 2.0, 6), (None, 1.0, 2.0, 6)]
+    left, right = cloud(spark, building + odd), cloud(spark, ground + [(float("inf"), 0.0, 0.0, 2)]).select("X", "Y", "Z")
+    near = spatial_join.nearest_join(left, right, ["Z"], most=most).withColumn("height", F.col("Z") - F.col("Z_near")).collect()
+    assert sum(r.distance is None for r in near) == 2
+    got = [r for r in near if r.distance is not None]
     assert len(got) == len(building)
     for r in got:
         best = min(((r.X - x) ** 2 + (r.Y - y) ** 2, x, y, z) for x, y, z, _ in ground)
@@ -227,11 +234,81 @@ def test_interpolation_matches_numpy(spark):
     assert {round(r.x, 9): round(r.y, 9) for r in got} == {round(s, 9): round(float(w), 9) for s, w in zip(samples, want)}
 
 
-@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0] * 50 + [9.0], list(np.random.default_rng(2).normal(0, 1, 997)), [0.0] * 10 + [1e9] + [1e-9] * 5])
+@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0] * 50 + [9.0], list(np.random.default_rng(2).normal(0, 1, 997)), [0.0] * 10 + [1e9] + [1e-9] * 5, [-0.0, 0.0, -1e-300, 1e300, -5.5] * 7])
 def test_quantile_matches_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     for p in (0.0, 0.05, 0.5, 0.99, 1.0):
-        assert spatial_join.exact_quantile(df, "v", p, buckets=16).first()[0] == pytest.approx(np.percentile(values, p * 100))
+        assert spatial_join.exact_quantile(df, "v", p).first()[0] == pytest.approx(np.percentile(values, p * 100))
+
+
+def test_quantile_edges(spark):
+    frame = lambda values: spark.createDataFrame([(v,) for v in values], "v double")
+    value = lambda values, p: spatial_join.exact_quantile(frame(values), "v", p).first()[0]
+    assert value([], 0.5) is None and value([None, 3.0, None], 0.5) == 3.0
+    assert value([1.0, 2.0, float("nan")], 0.5) == 2.0 and math.isnan(value([1.0, float("nan")], 1.0))
+    assert value([float("-inf"), 1.0, float("inf")], 0.5) == 1.0
+
+
+def test_interpolation_over_many_strips(spark):
+    # every strip is asked for, few are filled; segments of 2^11 strips make both levels count
+    series = spark.createDataFrame([(0, 5.0, 1.0), (0, 700000.5, 8.0), (1, 400000.25, 3.0)], "k int, x double, y double")
+    samples = spark.range(1000000).select((F.col("id") % 2).cast("int").alias("k"), (F.col("id") + 0.5).alias("x"))
+    got = spatial_join.interp_join(samples, series, ["k"], 1.0, bits=11)
+    want = F.when(F.col("k") == 1, 3.0).when(F.col("x") <= 5, 1.0).when(F.col("x") >= 700000.5, 8.0).otherwise(1 + (F.col("x") - 5) / 699995.5 * 7)
+    row = got.agg(F.count("*").alias("n"), F.max(F.abs(F.col("y") - want)).alias("off"), F.count_if(F.col("y").isNull()).alias("none")).first()
+    assert row.n == 1000000 and row.none == 0 and row.off < 1e-9
+    assert "SinglePartition" not in plan(got)
+
+
+def brute_rings(cells):
+    """Rings of a set of hexagons by walking their free sides, and the number of pieces by flood fill."""
+    corner = ((1, -1), (1, 1), (0, 2), (-1, 1), (-1, -1), (0, -2))
+    steps = ((1, 0), (0, 1), (-1, 1), (-1, 0), (0, -1), (1, -1))
+    follow = {}
+    for q, r in cells:
+        for k, (dq, dr) in enumerate(steps):
+            if (q + dq, r + dr) not in cells:
+                u, v = 2 * q + r, 3 * r
+                follow[u + corner[k][0], v + corner[k][1]] = (u + corner[(k + 1) % 6][0], v + corner[(k + 1) % 6][1])
+    rings, left = [], set(follow)
+    while left:
+        ring = [min(left)]
+        while follow[ring[-1]] != ring[0]:
+            ring.append(follow[ring[-1]])
+        left -= set(ring)
+        rings.append([*ring, ring[0]])
+    pieces, todo = 0, set(cells)
+    while todo:
+        pieces, front = pieces + 1, [todo.pop()]
+        while front:
+            q, r = front.pop()
+            for dq, dr in steps:
+                if (q + dq, r + dr) in todo:
+                    todo.discard((q + dq, r + dr))
+                    front.append((q + dq, r + dr))
+    return rings, pieces
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hexagon_rings(spark, seed):
+    rng = random.Random(seed)
+    cells = {(q, r) for q in range(-9, 10) for r in range(-9, 10) if rng.random() < 0.62} | {(40, 1)}
+    hexes = spark.createDataFrame([("a", q, r, 1) for q, r in cells] + [("b", 0, 0, 1)], "f string, q long, r long, count long")
+    found = points.hex_rings(hexes, ["f"]).cache()
+    rings, pieces = brute_rings(cells)
+    got = sorted([(c.u, c.v) for c in x.corners] for x in found.filter("f = 'a'").collect())
+    assert got == sorted([tuple(c) for c in ring] for ring in rings)
+    shapes = points.hex_polygons(found, 2.0, ["f"]).collect()
+    assert sum(x.f == "a" for x in shapes) == pieces and sum(x.holes for x in shapes) == len(rings) - pieces
+    assert sum(x.area for x in shapes) == pytest.approx((len(cells) + 1) * 1.5 * math.sqrt(3) * 4)
+    # each polygon by itself: the shoelace sum over its rings, holes running the other way
+    for x in shapes:
+        total = 0.0
+        for ring in re.findall(r"\(([^()]+)\)", x.wkt):
+            xy = [tuple(map(float, p.split())) for p in ring.split(", ")]
+            assert xy[0] == xy[-1]
+            total += sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(xy, xy[1:])) / 2
+        assert x.wkt.count("(") == x.holes + 2 and total == pytest.approx(x.area, rel=1e-5)
 
 
 def test_hexagons(spark):
@@ -421,6 +498,139 @@ def test_large_page_is_whole(spark):
     assert row.returned == 250 and row.document.count('"id"') == 250
 
 
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    from geolake.sources import files
+
+    change = lambda key: spark.createDataFrame([(key, "ObjectCreated:Put", None, "{}")], index.CHANGES)
+    root, plain = f"{tmp_path}/shared", files.create_small
+    index.append_changes(change("first"), 0, root, "one")
+    met = []
+
+    def slow(session, path, text):
+        """The other writer commits between this one's look and its own commit."""
+        if not met:
+            met.append(path)
+            index.append_changes(change("other"), 0, root, "two")
+        return plain(session, path, text)
+
+    monkeypatch.setattr(files, "create_small", slow)
+    index.append_changes(change("mine"), 1, root, "one")
+    monkeypatch.undo()
+    live = lambda: sorted(r.path for r in index.current_documents(spark, root).collect())
+    assert live() == ["first", "mine", "other"] and len(files.names(spark, f"{root}/commits")) == 3
+    index.append_changes(change("replayed"), 1, root, "one")
+    assert live() == ["first", "mine", "other"]
+    # a batch that comes while the index is compacted stays
+    met.clear()
+    monkeypatch.setattr(files, "create_small", lambda *a: (met.append(1) or index.append_changes(change("late"), 2, root, "one") if not met else None, plain(*a))[1])
+    assert index.compact(spark, root)
+    monkeypatch.undo()
+    assert live() == ["first", "late", "mine", "other"]
+
+
+def test_removed_keys_stay_removed(spark, tmp_path):
+    t = lambda m: datetime.datetime(2024, 1, 1, 0, m)
+    frame = lambda rows: spark.createDataFrame(rows, index.CHANGES)
+    root = f"{tmp_path}/removed"
+    index.append_changes(frame([("a", "ObjectCreated:Put", t(1), "{}"), ("a", "ObjectRemoved:Delete", t(5), None)]), 0, root)
+    index.compact(spark, root)
+    index.append_changes(frame([("a", "ObjectCreated:Put", t(3), "{}")]), 1, root)
+    assert index.current_documents(spark, root).count() == 0
+
+
+def test_latest_of_a_key_with_very_many_events(spark):
+    rows = spark.range(100000).select(
+        F.when(F.col("id") % 1000 == 0, F.concat(F.lit("k"), F.col("id").cast("string"))).otherwise("hot").alias("key"), F.lit("ObjectCreated:Put").alias("event"),
+        F.timestamp_seconds(F.col("id")).alias("event_time"), F.col("id").cast("string").alias("doc"))
+    last = index.latest(rows)
+    assert {r.doc for r in last.filter("key = 'hot'").collect()} == {"99999"} and last.count() == 101
+    assert plan(last).split("Initial Plan")[0].count("Exchange") == 1
+
+
+def test_clustered_table_opens_few_files(spark, tmp_path):
+    path = f"{tmp_path}/zoned"
+    rng = random.Random(4)
+    rows = [(rng.uniform(0, 100), rng.uniform(0, 100), 1.0, 2) for _ in range(4000)] + [(1e12, -1e12, 1.0, 2), (None, 1.0, 1.0, 2)]
+    cloud(spark, rows).write.parquet(f"{tmp_path}/plain")
+    tables.write_clustered(spark.read.parquet(f"{tmp_path}/plain").filter("X < 1e6 OR X IS NULL"), path, partitions=16)
+    box = (10, 10, 20, 20)
+    part = tables.read_points(spark, path, bbox=box)
+    assert len(part.inputFiles()) <= 6 < len(tables.read_points(spark, path).inputFiles())
+    assert part.count() == sum(x is not None and 10 <= x <= 20 and 10 <= y <= 20 for x, y, _, _ in rows)
+    assert tables.read_points(spark, path, bbox=(500, 500, 600, 600)).count() == 0
+    # no clamp: very distant places keep their order
+    far = f"{tmp_path}/far"
+    tables.write_clustered(cloud(spark, rows), far, partitions=4)
+    assert tables.read_points(spark, far, bbox=(9e11, -2e12, 2e12, 0)).count() == 1 and tables.read_points(spark, far).count() == 4002
+
+
+def test_raster_store_has_a_row_per_block(spark, tmp_path):
+    grid = np.arange(40 * 30, dtype=float).reshape(40, 30)
+    grid[3, 4] = np.nan
+    path = f"{tmp_path}/blocks"
+    tables.write_raster(cells_of(spark, grid), header_of(spark, grid), path, block=8)
+    assert spark.read.parquet(f"{path}/blocks").count() == 5 * 4
+    cells, _ = tables.read_raster(spark, path)
+    whole = {(r.row, r.col): r.value for r in cells.filter("value IS NOT NULL").collect()}
+    assert whole == {(i, j): grid[i, j] for i in range(40) for j in range(30) if not np.isnan(grid[i, j])}
+    window = tables.block_window(cells, (9, 12), (3, 20), block=8)
+    assert window.count() == 4 * 18 and "GreaterThanOrEqual(block_row,1)" in plan(window)
+
+
+def test_products_share_a_grid(spark):
+    rng = random.Random(6)
+    rows = [(rng.uniform(0, 9), rng.uniform(0, 9), rng.random(), rng.choice([2, 6, 7])) for _ in range(300)]
+    pts = cloud(spark, rows).withColumn("Intensity", F.lit(5))
+    for mode in ("bin", "radius"):
+        both = {(r.row, r.col): r for r in raster.rasterize_products(pts, raster.PRODUCTS, 1.0, mode=mode).collect()}
+        for kind in raster.PRODUCTS:
+            one = {(r.row, r.col): r.value for r in raster.rasterize(pts, kind, 1.0, mode=mode).collect()}
+            assert {k: v for k, r in both.items() if (v := r[kind]) is not None} == pytest.approx(one)
+
+
+def test_sample_draws_equal_rows_one_by_one(spark):
+    pts = cloud(spark, [(1.0, 1.0, 1.0, 2)] * 25000 + [(float(i), 0.0, 0.0, 2) for i in range(5000)])
+    some = points.sample_points(pts, 3000, seed=2)
+    equal = some.filter("X = 1 AND Y = 1").count()
+    assert some.count() == 3000 and 2350 < equal < 2650
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, points.sample_points(pts.repartition(3), 3000, seed=2).collect()))
+    assert points.sample_points(pts, 10**6).count() == 30000
+
+
+def test_copies_with_and_without_a_collection_are_one_item(spark):
+    item = '{"type":"Feature","id":"t1","properties":{}}'
+    rows = [("a/t1/t1.json", item), ("a/t1/t1 (conflicted copy).json", item[:-1] + ',"collection":"c"}'), ("a/collection.json", '{"type":"Collection","id":"c"}')]
+    docs = spark.createDataFrame(rows, "path string, doc string").withColumn("type", documents.document_type(F.col("doc")))
+    found, _, _ = documents.build_index(docs)
+    assert [(r.id, r.collection, r.source_key) for r in found.collect()] == [("t1", "c", "a/t1/t1.json")]
+
+
+def test_lines_are_valid_geometry(spark):
+    def kinds(geometry):
+        doc = '{"type":"Feature","stac_version":"1.0.0","id":"x","bbox":[0,0,1,1],"geometry":%s,"properties":{"datetime":"2024-01-01"},"links":[],"assets":{}}' % geometry
+        docs = spark.createDataFrame([("a/x/x.json", doc)], "path string, doc string").withColumn("type", documents.document_type(F.col("doc")))
+        return {r.kind for r in quality.validate_structure(docs).collect()}
+
+    assert kinds('{"type":"LineString","coordinates":[[0,0],[1,1]]}') == set()
+    assert kinds('{"type":"MultiLineString","coordinates":[[[0,0],[1,1]],[[2,2],[3,3]]]}') == set()
+    assert kinds('{"type":"LineString","coordinates":[[0,0]]}') == {"bad_geometry"}
+    assert kinds('{"type":"Blob","coordinates":[]}') == {"bad_geometry"}
+
+
+def test_located_index_is_pruned(spark, tmp_path):
+    rows = [(f"i{k}", "c", None, x, y, x + 0.001, y + 0.001) for k in range(900) for x, y in [(130 + k % 30 * 0.3, 30 + k // 30 * 0.3)]]
+    rows += [("wide", "c", None, 100.0, 0.0, 170.0, 60.0), ("none", "c", None, None, None, None, None), ("spot", "c", None, 133.0, 33.0, 133.0, 33.0)]
+    frame = spark.createDataFrame(rows, "id string, collection string, datetime timestamp, minx double, miny double, maxx double, maxy double")
+    search.write_located(frame, f"{tmp_path}/items", partitions=8)
+    located = spark.read.parquet(f"{tmp_path}/items")
+    box = (132.95, 32.95, 133.3005, 33.05)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    hit = located.filter(search.matches(located, bbox=box, keep_unlocated=False))
+    plainly = frame.filter(search.matches(frame, bbox=box, keep_unlocated=False))
+    ids = lambda df: sorted(r.id for r in df.select("id").collect())
+    assert ids(hit) == ids(plainly) and {"wide", "spot"} <= set(ids(hit)) and "home_x" in plan(hit).split("PushedFilters")[1]
+
+
 def test_batches_of_two_sources(spark, tmp_path):
     change = lambda key: spark.createDataFrame([(key, "ObjectCreated:Put", None, "{}")], index.CHANGES)
     root = f"{tmp_path}/two"
