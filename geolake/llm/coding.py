@@ -14,11 +14,17 @@ class Codes(dict):
 
 
 def packed(values: np.ndarray) -> tuple[bytes, int]:
-    """Unsigned numbers in as few bytes each as hold the largest, and that number of bytes."""
+    """Unsigned numbers in as few bytes each as hold the largest (1, 2, 3, 4 or 8), and that number of bytes."""
     most = int(values.max()) if len(values) else 0
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
-    return values.astype(kind).tobytes(), np.dtype(kind).itemsize
+    width = next(w for w in (1, 2, 3, 4, 8) if most < 1 << (8 * w))
+    if width == 3:
+        return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes(), width
+    return values.astype(f"<u{width}").tobytes(), width
 
 
 def unpacked(data: bytes, width: int) -> np.ndarray:
+    if width == 3:
+        whole = np.zeros((len(data) // 3, 4), np.uint8)
+        whole[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+        return whole.view("<u4").ravel().astype(np.int64)
     return np.frombuffer(data, f"<u{width}").astype(np.int64)
