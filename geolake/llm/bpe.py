@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,15 +179,27 @@ def decode(encoded: DataFrame, ranks_path: str | None = None, rows: int = 256) -
     ranks = read_ranks(ranks_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     shown = byte_characters()
     hidden = {c: b for b, c in shown.items()}
-    vocabulary = {rank: "".join(shown[b] for b in token) for token, rank in ranks.items()}
+    vocabulary = [""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        vocabulary[rank] = "".join(shown[b] for b in token)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {rank: bytes(hidden[c] for c in token) for rank, token in vocabulary.items()}
+        table = pa.array([bytes(hidden[c] for c in token) or None for token in vocabulary], type=pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                decoded = [None if i is None else b"".join(map(table.__getitem__, i)) for i in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, type=pa.binary())], names=[*part.schema.names, "decoded"])
+                ids = part.column("ids")
+                tokens = table.take(ids.flatten())
+                if tokens.null_count:
+                    raise ValueError("an id without a token")
+                # Tokens lie end to end, so the bytes of a row are a stretch of theirs.
+                ends = np.concatenate(([0], np.cumsum(pc.binary_length(tokens).to_numpy(zero_copy_only=False), dtype=np.int64)))
+                behind = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+                offsets = pa.py_buffer(ends[behind].astype(np.int32))
+                decoded = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, offsets, tokens.buffers()[2] or pa.py_buffer(b"")])
+                if ids.null_count:
+                    decoded = pc.if_else(ids.is_valid(), decoded, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
     columns = [c for c in encoded.columns if c.lower() != "decoded"]
     kept = encoded.select(*[F.col(f"`{c}`") for c in columns])
