@@ -132,3 +132,9 @@ def write_documents(documents: DataFrame, root: str) -> None:
     documents.select("collection", "id", F.col("json").alias("value")).write.mode("overwrite").partitionBy(
         "collection", "id"
     ).text(root)
+
+
+def write_bundles(documents: DataFrame, root: str) -> None:
+    """The same documents as lines of their collection's files, each with its place in the tree: as many files as their size asks for."""
+    lines = documents.select("collection", F.col("rel_path").alias("path"), F.col("json").alias("doc"))
+    lines.repartitionByRange("collection", "path").sortWithinPartitions("collection", "path").write.mode("overwrite").partitionBy("collection").json(root)

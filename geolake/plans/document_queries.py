@@ -225,8 +225,8 @@ def index_health(spark, sf_dir):
 
 @query("dem_assets", "SELECT event_id % 6 = 0 AS is_dem, count(*) AS items FROM events GROUP BY 1")
 def dem_assets(spark, sf_dir):
-    docs = item_docs(spark, sf_dir).filter(~F.col("path").contains("conflicted"))
-    found = documents.flatten_items(documents.list_objects(docs))
+    docs = documents.list_objects(item_docs(spark, sf_dir)).filter("type IS NOT NULL")
+    found = documents.flatten_items(documents.keep_one(docs))
     return found.groupBy(search.is_dem_item(F.col("assets")).alias("is_dem")).agg(F.count("*").alias("items"))
 
 
@@ -321,7 +321,7 @@ def _supplier_items(spark, sf_dir):
 
 
 def tree_docs(spark, sf_dir):
-    return stored(spark, sf_dir, "treedocs", lambda: _tree_docs(spark, sf_dir))
+    return stored(spark, "treedocs", _tree_docs(spark, sf_dir))
 
 
 def _tree_docs(spark, sf_dir):
@@ -573,6 +573,13 @@ def _files(spark, sf_dir):
     return root
 
 
+@query("document_bundles", _SUPPLIERS)
+def document_bundles(spark, sf_dir):
+    root = scratch_dir(spark, "bundles")
+    render.write_bundles(render.render_documents(_supplier_items(spark, sf_dir)), root)
+    return documents.flatten_items(documents.read_bundles(spark, root)).select("id", "title")
+
+
 @query("stream_ingest", _SUPPLIERS)
 def stream_ingest(spark, sf_dir):
     root, index, check = _files(spark, sf_dir), scratch_dir(spark, "index"), scratch_dir(spark, "check")

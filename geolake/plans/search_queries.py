@@ -468,19 +468,22 @@ def missing_assets(spark, sf_dir):
     return quality.missing_assets(clouds, kept, BASE).select("id", "asset", "key")
 
 
-_INVENTORIES = """l AS (SELECT 'data/' || CAST(p_partkey AS VARCHAR) AS key, p_size AS size, 10 AS modified FROM part WHERE p_brand <> 'Brand#2'),
-r AS (SELECT 'data/' || CAST(l_partkey AS VARCHAR) AS key, CAST(max(l_quantity) AS INTEGER) AS size, CAST(max(l_linenumber) AS INTEGER) * 2 AS modified FROM lineitem WHERE l_returnflag <> 'A' AND l_quantity > 48 GROUP BY l_partkey)"""
+# Every seventh part lies elsewhere remotely, so keys of both sides are without a partner.
+_INVENTORIES = """l AS (SELECT 'data/' || CAST(p_partkey AS VARCHAR) AS key, p_size AS size, 10 AS modified FROM part),
+r AS (SELECT 'data/' || CAST(CASE WHEN l_partkey % 7 = 0 THEN -l_partkey ELSE l_partkey END AS VARCHAR) AS key,
+  CAST(max(l_quantity) AS INTEGER) AS size, CAST(max(l_linenumber) AS INTEGER) * 2 AS modified FROM lineitem GROUP BY 1)"""
 
 
 @query("inventory_diff", f"""WITH {_INVENTORIES} SELECT key, CASE WHEN r.size IS NULL THEN 'new' WHEN l.size IS NULL THEN 'deleted' ELSE 'changed' END AS action
 FROM l FULL OUTER JOIN r USING (key) WHERE r.size IS NULL OR l.size IS NULL OR l.size <> r.size OR l.modified > r.modified""")
 def inventory_diff(spark, sf_dir):
-    key = F.lit("data/")
-    local = table(spark, sf_dir, "part").filter("p_brand <> 'Brand#2'").select(
-        F.concat(key, F.col("p_partkey").cast("string")).alias("key"), F.col("p_size").alias("size"), F.lit(10).alias("modified"))
-    remote = table(spark, sf_dir, "lineitem").filter("l_returnflag <> 'A' AND l_quantity > 48").groupBy("l_partkey").agg(
-        F.max("l_quantity").cast("int").alias("size"), (F.max("l_linenumber") * 2).alias("modified")
-    ).select(F.concat(key, F.col("l_partkey").cast("string")).alias("key"), "size", "modified")
+    def key(name):
+        return F.concat(F.lit("data/"), name.cast("string")).alias("key")
+
+    local = table(spark, sf_dir, "part").select(key(F.col("p_partkey")), F.col("p_size").alias("size"), F.lit(10).alias("modified"))
+    place = F.when(F.col("l_partkey") % 7 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    remote = table(spark, sf_dir, "lineitem").groupBy(key(place)).agg(
+        F.max("l_quantity").cast("int").alias("size"), (F.max("l_linenumber") * 2).alias("modified"))
     return sync.inventory_diff(local, remote)
 
 

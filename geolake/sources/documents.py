@@ -60,6 +60,12 @@ def rejects(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("type").isNull() | ~F.col("type").isin(*KINDS))
 
 
+def read_bundles(spark: SparkSession, root: str) -> DataFrame:
+    """path, doc, type of the documents that ``render.write_bundles`` wrote; a filter on ``collection`` reads its files alone."""
+    lines = spark.read.schema("path string, doc string, collection string").json(root)
+    return lines.withColumn("type", document_type(F.col("doc")))
+
+
 def list_objects(
     listing: DataFrame, key: str = "path", prefixes=SKIPPED_PREFIXES, suffixes=SKIPPED_SUFFIXES, ending: str = ".json"
 ) -> DataFrame:
