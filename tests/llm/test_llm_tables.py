@@ -260,3 +260,21 @@ def test_repeats_of_one_document_and_of_none(spark):
 def test_levels_at_most_double(window, first):
     found = repeats.levels(window, first)
     assert found[-1] == window and found[0] <= max(first, 1) and all(a < b <= 2 * a for a, b in zip(found, found[1:]))
+
+
+# --- decoding ---------------------------------------------------------------------------
+
+
+def test_decoding_of_missing_lists_and_strange_ids(spark):
+    from geolake.llm import bpe
+
+    reachable(spark)
+    rows = [(1, [104, 105]), (2, None), (3, []), (4, [105]), (None, [104] * 1000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, ids array<int>").withColumn("decoded", F.lit("x"))
+    table = {rank: token for token, rank in bpe.read_ranks(bpe.public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).items()}
+    for size in (2, 256):
+        got = {r.doc_id: r.decoded for r in bpe.decode(frame, rows=size).collect()}
+        assert {k: None if v is None else bytes(v) for k, v in got.items()} == {i: None if ids is None else b"".join(table[t] for t in ids) for i, ids in rows}
+    with pytest.raises(Exception):
+        bpe.decode(spark.createDataFrame([(1, [10**6])], "doc_id bigint, ids array<int>")).collect()
+    assert bpe.decode(frame.limit(0)).count() == 0
