@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 REMEMBERED, LONGEST = 600_000, 100
 #: White space beyond ASCII, and the separators that some engines count as such.
 _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2\x80[\x80-\x8d\xa8\xa9\xaf]|\xe2\x81[\x9f\xa0]|\xe3\x80\x80|\xef\xbb\xbf")
+#: The bytes that such a character begins with; a text without any need not be searched.
+_OTHER_LEADS = bytes([0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF])
 #: A space inside a longer run of white space, where cutting at every space would cut a match.
 _INNER_SPACE = re.compile(rb"[\x20\t-\r]\x20(?:[\x20\t-\r]|\Z)")
 _UNIT = re.compile(rb"[\x20\t-\r]*[^\x20\t-\r]+|[\x20\t-\r]+")
@@ -107,7 +109,7 @@ class UnitIds(dict):
         return ids
 
     def encode(self, data: bytes) -> bytes:
-        if _OTHER_SPACE.search(data):
+        if len(data.translate(None, _OTHER_LEADS)) < len(data) and _OTHER_SPACE.search(data):
             return self.whole(data)
         if _INNER_SPACE.search(data):
             units = _UNIT.findall(data)
