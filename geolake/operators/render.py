@@ -10,6 +10,8 @@ from ..functions import geom
 # Media types of links.
 JSON, GEOJSON = "application/json", "application/geo+json"
 STAC_VERSION = "1.0.0"
+#: Items that a task writes as files of their own.
+FILES = 500
 
 
 def iso_time(value: Column) -> Column:
@@ -127,11 +129,19 @@ def render_documents(items: DataFrame) -> DataFrame:
     return shown.select("collection", "id", path.alias("rel_path"), F.col("feature").alias("json"))
 
 
+def write_files(texts: DataFrame, root: str, *keys: str) -> None:
+    """A file for each ``value`` below folders named by ``keys``; sorting keeps one file open per task.
+
+    The work goes by the number of files, not by their few bytes: a task makes some ``FILES`` of them and moves them into place itself,
+    where the default has the driver move all files one by one.
+    """
+    spread = texts.repartition(1 + texts.count() // FILES, *keys)
+    spread.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*keys).text(root)
+
+
 def write_documents(documents: DataFrame, root: str) -> None:
-    """One file per item below collection=.../id=...; sorting keeps one file open per task."""
-    documents.select("collection", "id", F.col("json").alias("value")).write.mode("overwrite").partitionBy(
-        "collection", "id"
-    ).text(root)
+    """One file per item below collection=.../id=..."""
+    write_files(documents.select("collection", "id", F.col("json").alias("value")), root, "collection", "id")
 
 
 def write_bundles(documents: DataFrame, root: str) -> None:

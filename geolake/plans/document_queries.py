@@ -439,7 +439,7 @@ def read_documents(spark, sf_dir):
     docs = tree_docs(spark, sf_dir)
     bad = docs.filter("path LIKE 'r-_/r-_.json'").select(F.concat("path", F.lit(".bad")).alias("path"), F.substring("doc", 1, 25).alias("doc"))
     root = scratch_dir(spark, "docs")
-    docs.select("path", "doc").unionByName(bad).select(F.col("doc").alias("value"), F.md5("path").alias("k")).write.partitionBy("k").text(root)
+    render.write_files(docs.select("path", "doc").unionByName(bad).select(F.col("doc").alias("value"), F.md5("path").alias("k")), root, "k")
     return documents.read_documents(spark, root, glob="*.txt").groupBy("type").agg(F.count("*").alias("n"))
 
 

@@ -47,13 +47,15 @@ def scan_schema(raw: DataFrame, root: str) -> DataFrame:
     )
 
 
+def whole_texts(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """The files below a folder, a row each."""
+    with files.few_listings(spark):
+        return spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+
+
 def read_documents(spark: SparkSession, root: str, glob: str = "*.json") -> DataFrame:
     """Every document below a folder, one row each; unreadable ones have a NULL type."""
-    raw = (
-        spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(root)
-    )
-    return scan_schema(raw, root)
+    return scan_schema(whole_texts(spark, root, glob), root)
 
 
 def rejects(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -54,3 +56,15 @@ def create_small(spark: SparkSession, path: str, text: str) -> bool:
         fs.delete(beside, False)
         return False
     return True
+
+
+@contextmanager
+def few_listings(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks a core. Spark's default is a task for each of up to 10,000 folders, at every level of a tree."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

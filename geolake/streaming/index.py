@@ -32,7 +32,8 @@ def stream_documents(spark: SparkSession, root: str, glob: str = "*.json", per_b
     )
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    raw = reader.load(root)
+    with files.few_listings(spark):
+        raw = reader.load(root)
     rows = raw.select(
         documents.relative_key(F.col("_metadata.file_path"), root).alias("key"),
         F.lit(CREATED).alias("event"),
@@ -121,7 +122,8 @@ def upsert_index(stream: DataFrame, index_dir: str, checkpoint: str):
         named = files.read_small(df.sparkSession, f"{checkpoint}/metadata")
         append_changes(df, batch, index_dir, json.loads(named)["id"])
 
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with files.few_listings(stream.sparkSession):  # a query keeps the settings it starts with
+        return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _changes_of(spark: SparkSession, index_dir: str, state: dict) -> DataFrame:
@@ -163,10 +165,7 @@ def compact(spark: SparkSession, index_dir: str) -> bool:
 def reindex(spark: SparkSession, root: str, index_dir: str, glob: str = "*.json", ending: str = ".json") -> bool:
     """Full rebuild from the files: the batch path of the same index."""
     _, state = _last_commit(spark, index_dir)
-    raw = (
-        spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(root)
-    )
+    raw = documents.whole_texts(spark, root, glob)
     rows = documents.list_objects(raw.select(
         documents.relative_key(F.col("_metadata.file_path"), root).alias("key"), F.lit(CREATED).alias("event"),
         F.col("_metadata.file_modification_time").alias("event_time"), F.col("value").alias("doc"),

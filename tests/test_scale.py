@@ -1,6 +1,7 @@
 """Plans and layouts that have to hold on large tables."""
 
-from geolake.operators import spatial_join
+from geolake.operators import render, spatial_join
+from geolake.sources import documents
 
 
 def plan(df):
@@ -14,3 +15,27 @@ def test_areas_are_not_gathered_in_the_driver(spark, tmp_path):
     found = spatial_join.points_in_areas(points, spark.read.parquet(f"{tmp_path}/areas"))
     assert "Broadcast" not in plan(found)
     assert sorted((r.area_id, r.X) for r in found.collect()) == [(1, 1.0), (2, 1.0), (2, 5.0)]
+
+
+def tasks(spark, work):
+    """Tasks of the jobs that ``work`` runs."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        done = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(j).stageIds}
+    return done, [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+
+
+def test_files_are_written_by_many_tasks_and_listed_by_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(render, "FILES", 50)
+    items = spark.range(300).selectExpr("'c' AS collection", "concat('i', id) AS id", "concat('{\"type\":\"Feature\",\"id\":\"i', id, '\"}') AS json").coalesce(1)
+    root = f"{tmp_path}/tree"
+    _, wrote = tasks(spark, lambda: render.write_documents(items, root))
+    assert max(wrote) == 7
+    read, listed = tasks(spark, lambda: documents.read_documents(spark, root, glob="*.txt"))
+    assert 1 < max(listed) <= 4 * spark.sparkContext.defaultParallelism < 300
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    assert read.count() == read.select("path").distinct().count() == read.filter("type = 'Feature'").count() == 300
