@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import crs, geom, text
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 
 # Fields and values of the point-cloud extension.
 REQUIRED = ("pc:count", "pc:type")
@@ -133,16 +133,11 @@ def validate_pointcloud(docs: DataFrame) -> DataFrame:
     A count that is no integer is an error that leaves the item valid, as the checks this
     follows treat it.
     """
-    def prop(name: str) -> Column:
-        return F.get_json_object("doc", f"$.properties['{name}']")
-
-    keys = F.json_object_keys(F.get_json_object("doc", "$.properties"))
+    raw, keys, count, kind = (F.col(c) for c in ("_raw", "_keys", "_count", "_kind"))
 
     def lacks(name: str) -> Column:
         return ~F.coalesce(F.array_contains(keys, name), F.lit(False))
 
-    count, kind = prop("pc:count"), prop("pc:type")
-    raw = F.get_json_object("doc", "$.properties")
     quoted = raw.rlike(r'"pc:count"\s*:\s*"')
     assets = F.from_json(F.get_json_object("doc", "$.assets"), schemas.ASSETS)
     found = [_issue(lacks(n), "pointcloud", ERROR, "missing_required", n, True) for n in REQUIRED]
@@ -152,7 +147,12 @@ def validate_pointcloud(docs: DataFrame) -> DataFrame:
         _issue(kind.isNotNull() & (kind != "") & ~kind.isin(*CLOUD_TYPES), "pointcloud", WARNING, "non_standard_value", "pc:type", False),
         _issue(~F.coalesce(F.map_contains_key(assets, "data"), F.lit(False)), "pointcloud", WARNING, "missing_data_asset", None, False),
     ]
-    features = docs.filter(F.col("type") == "Feature")
+    def prop(name: str) -> Column:
+        return F.get_json_object("doc", f"$.properties['{name}']")
+
+    # Each part is read from the document once, however many checks look at it.
+    features = docs.filter(F.col("type") == "Feature").withColumns({
+        "_raw": F.get_json_object("doc", "$.properties"), "_count": prop("pc:count"), "_kind": prop("pc:type")}).withColumn("_keys", F.json_object_keys("_raw"))
     return _issues(features, ["path", F.get_json_object("doc", "$.id").alias("id")], found)
 
 
@@ -163,11 +163,12 @@ def validation_report(issues: DataFrame, checks: Sequence[str] = ("structure", "
     """
     spark = issues.sparkSession
     names = spark.createDataFrame([(c,) for c in checks], "check string")
-    counted = issues.groupBy("check").agg(
+    # A row for each check, used twice below.
+    counted = written(issues.groupBy("check").agg(
         F.count_if(F.col("severity") == ERROR).alias("errors"),
         F.count_if(F.col("severity") == WARNING).alias("warnings"),
         F.bool_or("invalidates").alias("broken"),
-    )
+    ), "issues")
     rows = names.join(counted, "check", "left").select(
         "check",
         (~F.coalesce("broken", F.lit(False))).alias("valid"),
