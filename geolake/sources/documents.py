@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import geom, text
+from ..session import written
 from . import files
 
 # Document kinds, index defaults, key rules.
@@ -259,8 +260,11 @@ def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def build_index(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scanned documents -> items, collections and catalogs, one per entity: collections first, as items may take theirs from them."""
-    catalogs, groups, features = split_documents(list_objects(docs))
+    """Scanned documents -> items, collections and catalogs, one per entity: collections first, as items may take theirs from them.
+
+    What is indexable is written with its type first, since every part goes through it several times.
+    """
+    catalogs, groups, features = split_documents(written(list_objects(docs).select("path", "doc", "type"), "indexable"))
     collections = flatten_collections(keep_one(groups))
     return infer_collection(flatten_items(keep_one(features, collections)), collections), collections, keep_one(catalogs)
 
