@@ -51,9 +51,8 @@ def from_geojson(text: Column) -> Column:
             .when(kind == "Polygon", F.array(polygon))
             .when(kind == "MultiPolygon", multi)
         )
-        # a list that could not be read comes back as NULL vertices or rings
-        sound = _first_vertex(polygons).isNotNull()
-        return F.when(sound, _geometry(kind, polygons))
+        # a list that could not be read comes back as NULL vertices or rings; named once, it is read once
+        return let(lambda r: F.when(_first_vertex(r["p"]).isNotNull(), _geometry(kind, r["p"])), p=polygons)
 
     return let(read, kind=F.get_json_object(text, "$.type"), raw=F.get_json_object(text, "$.coordinates"))
 

@@ -289,10 +289,10 @@ def wkt_roundtrip(spark, sf_dir):
     box = geom.bbox_ring(*cols)
     shape = F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(box), F.array(box, box)).alias("polygons"))
     wkt = geom.to_wkt(shape)
-    back = geom.from_geojson(geom.to_geojson(geom.from_wkt(wkt)))
-    read = items(spark, sf_dir).filter("minx IS NOT NULL").select("id", wkt.alias("w"), back.alias("g"))
-    e = geom.bounds(F.col("g"))
-    return read.select(
+    back = geom.from_geojson(geom.to_geojson(geom.from_wkt(F.col("w"))))
+    read = items(spark, sf_dir).filter("minx IS NOT NULL").select("id", wkt.alias("w")).select("id", "w", back.alias("g"))
+    e = F.col("e")
+    return read.withColumn("e", geom.bounds(F.col("g"))).select(
         "id", *(F.round(e[i], 8).alias(n) for i, n in enumerate(("minx", "miny", "maxx", "maxy"))),
         F.substring_index("w", " ", 1).alias("head"), F.size("g.polygons").alias("parts"),
     )

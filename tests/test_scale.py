@@ -1,6 +1,9 @@
 """Plans and layouts that have to hold on large tables."""
 
-from geolake.operators import render, spatial_join
+from pyspark.sql import functions as F
+
+from geolake.functions import geom
+from geolake.operators import quality, render, spatial_join
 from geolake.sources import documents
 
 
@@ -39,3 +42,33 @@ def test_files_are_written_by_many_tasks_and_listed_by_few(spark, tmp_path, monk
     assert 1 < max(listed) <= 4 * spark.sparkContext.defaultParallelism < 300
     assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
     assert read.count() == read.select("path").distinct().count() == read.filter("type = 'Feature'").count() == 300
+
+
+DOC = '{"type":"Feature","id":"a","collection":"c","properties":{"pc:count":1,"pc:type":"lidar"}}'
+
+
+def stored_docs(spark, path):
+    spark.createDataFrame([("c/a/a.json", DOC)], "path string, doc string").write.parquet(path)
+    return spark.read.parquet(path).withColumn("type", documents.document_type(F.col("doc")))
+
+
+def test_a_geometry_is_read_once(spark):
+    text = spark.createDataFrame([('{"type":"Point","coordinates":[1,2]}',)], "t string")
+    read = text.select(geom.from_geojson(F.col("t")).alias("g"))
+    logical = read._jdf.queryExecution().analyzed().toString()
+    assert logical.count("from_json(") == 3  # one for each kind
+    assert read.first().g.polygons == [[[[1.0, 2.0]]]]
+
+
+def test_an_index_is_built_from_documents_typed_once(spark, tmp_path):
+    docs = stored_docs(spark, f"{tmp_path}/raw")
+    items, collections, catalogs = documents.build_index(docs)
+    for made in (items, collections, catalogs):
+        assert f"{tmp_path}/raw" not in " ".join(made.inputFiles())
+    assert [(r.id, r.collection) for r in items.collect()] == [("a", "c")]
+
+
+def test_a_report_goes_through_its_issues_once(spark, tmp_path):
+    report = quality.validation_report(quality.validate_pointcloud(stored_docs(spark, f"{tmp_path}/raw")), ("pointcloud",))
+    assert f"{tmp_path}/raw" not in " ".join(report.inputFiles())
+    assert {(r.check, r.errors, r.warnings) for r in report.collect()} == {("pointcloud", 0, 5), ("overall", 0, 5)}
