@@ -74,6 +74,23 @@ def _promising(pairs: DataFrame, *key: str) -> DataFrame:
     return scored.withColumn("_best", best).filter(F.col("_lo") <= F.col("_best") * (1 + 1e-9))
 
 
+def _within_reach(x: Column, y: Column, among: Column) -> Column:
+    """The cells (_pr) of a list of boxes that may hold the place nearest to x, y, as ``_promising`` decides it."""
+    def reach(box: Column) -> Column:
+        def along(v: Column, c: str) -> tuple[Column, Column]:
+            gap = v - box[f"rz{c}"], box[f"ra{c}"] - v
+            return F.greatest(*gap, F.lit(0.0)), F.greatest(-gap[0], -gap[1])
+
+        (near_x, far_x), (near_y, far_y) = along(x, "x"), along(y, "y")
+        return F.struct(box["_pr"].alias("_pr"), (near_x * near_x + near_y * near_y).alias("lo"), (far_x * far_x + far_y * far_y).alias("hi"))
+
+    def keep(v: Column) -> Column:
+        return F.filter(v["b"], lambda b: b["lo"] <= v["best"] * (1 + 1e-9))
+
+    kept = let(lambda v: let(keep, b=v["b"], best=F.array_min(F.transform(v["b"], lambda b: b["hi"]))), b=F.transform(among, reach))
+    return F.transform(kept, lambda b: b["_pr"])
+
+
 def nearest_join(
     left: DataFrame, right: DataFrame, payload: Sequence[str], suffix: str = "_near", most: int = LEAF
 ) -> DataFrame:
@@ -103,9 +120,11 @@ def nearest_join(
         met = pairs.join(_nodes(lefts, below, below - 1, "l"), "_pl").join(_nodes(rights, below, below - 1, "r"), "_pr")
         pairs = _promising(met, "l").select(F.col("l").alias("_pl"), F.col("r").alias("_pr"))
     leaf = morton.cell(F.col("_h"), F.col("_l"), F.col("_cuts"))
-    own = places.select(*(F.col(c).alias(f"l{e}{c.lower()}") for c in ("X", "Y") for e in "az"), leaf.alias("_pl"))
-    met = pairs.join(own, "_pl").join(rights.withColumnRenamed("_leaf", "_pr"), "_pr")
-    asked = _promising(met, "lax", "lay").select(F.col("lax").alias("X"), F.col("lay").alias("Y"), F.col("_pr"))
+    own = places.select("X", "Y", leaf.alias("_pl"))
+    # A left leaf's right leaves travel as one list, so that each of its places chooses among them where it stands.
+    edges = [f"r{e}{c}" for c in "xy" for e in "az"]
+    lists = pairs.join(rights.withColumnRenamed("_leaf", "_pr"), "_pr").groupBy("_pl").agg(F.collect_list(F.struct("_pr", *edges)).alias("_among"))
+    asked = own.join(lists, "_pl").select("X", "Y", F.explode(_within_reach(F.col("X"), F.col("Y"), F.col("_among"))).alias("_pr"))
     known = grounds.select(F.col("X").alias("_gx"), F.col("Y").alias("_gy"), "p", leaf.alias("_pr"))
     dx, dy = F.col("X") - F.col("_gx"), F.col("Y") - F.col("_gy")
     found = asked.join(known, "_pr").groupBy("X", "Y").agg(F.min(F.struct((dx * dx + dy * dy).alias("d"), "_gx", "_gy", "p")).alias("_n"))

@@ -1,5 +1,6 @@
 """Plans and layouts that have to hold on large tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from geolake.functions import geom
@@ -72,3 +73,13 @@ def test_a_report_goes_through_its_issues_once(spark, tmp_path):
     report = quality.validation_report(quality.validate_pointcloud(stored_docs(spark, f"{tmp_path}/raw")), ("pointcloud",))
     assert f"{tmp_path}/raw" not in " ".join(report.inputFiles())
     assert {(r.check, r.errors, r.warnings) for r in report.collect()} == {("pointcloud", 0, 5), ("overall", 0, 5)}
+
+
+def test_places_choose_their_leaves_without_a_shuffle_of_all_choices(spark):
+    rng = np.random.default_rng(5)
+    left, right = (spark.createDataFrame(rng.random((n, 3)).tolist(), "X double, Y double, Z double") for n in (60, 80))
+    near = spatial_join.nearest_join(left, right, ["Z"], most=2)
+    assert "windowspecdefinition(lax" not in plan(near)
+    grounds = [(r.X, r.Y, r.Z) for r in right.collect()]
+    for r in near.collect():
+        assert r.Z_near == min(((r.X - x) ** 2 + (r.Y - y) ** 2, z) for x, y, z in grounds)[1]
