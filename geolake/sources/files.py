@@ -58,13 +58,20 @@ def create_small(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def limit_listings(spark: SparkSession) -> None:
+    """Folders are listed by a few tasks a core. Spark's default is a task for each of up to 10,000 folders, at every level of a tree."""
+    spark.conf.set(_LISTING, str(4 * spark.sparkContext.defaultParallelism))
+
+
 @contextmanager
 def few_listings(spark: SparkSession) -> Iterator[None]:
-    """Folders are listed by a few tasks a core. Spark's default is a task for each of up to 10,000 folders, at every level of a tree."""
-    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(4 * spark.sparkContext.defaultParallelism))
+    """``limit_listings`` for what is listed inside."""
+    before = spark.conf.get(_LISTING)
+    limit_listings(spark)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        spark.conf.set(_LISTING, before)

@@ -32,8 +32,8 @@ def stream_documents(spark: SparkSession, root: str, glob: str = "*.json", per_b
     )
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    with files.few_listings(spark):
-        raw = reader.load(root)
+    files.limit_listings(spark)  # and left so: the stream lists by the session's settings whenever it looks for files
+    raw = reader.load(root)
     rows = raw.select(
         documents.relative_key(F.col("_metadata.file_path"), root).alias("key"),
         F.lit(CREATED).alias("event"),
@@ -122,8 +122,7 @@ def upsert_index(stream: DataFrame, index_dir: str, checkpoint: str):
         named = files.read_small(df.sparkSession, f"{checkpoint}/metadata")
         append_changes(df, batch, index_dir, json.loads(named)["id"])
 
-    with files.few_listings(stream.sparkSession):  # a query keeps the settings it starts with
-        return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _changes_of(spark: SparkSession, index_dir: str, state: dict) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from geolake.functions import geom
 from geolake.operators import quality, render, spatial_join
 from geolake.sources import documents
+from geolake.streaming import index as live
 
 
 def plan(df):
@@ -39,9 +40,10 @@ def test_files_are_written_by_many_tasks_and_listed_by_few(spark, tmp_path, monk
     root = f"{tmp_path}/tree"
     _, wrote = tasks(spark, lambda: render.write_documents(items, root))
     assert max(wrote) == 7
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
     read, listed = tasks(spark, lambda: documents.read_documents(spark, root, glob="*.txt"))
     assert 1 < max(listed) <= 4 * spark.sparkContext.defaultParallelism < 300
-    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
     assert read.count() == read.select("path").distinct().count() == read.filter("type = 'Feature'").count() == 300
 
 
@@ -83,3 +85,12 @@ def test_places_choose_their_leaves_without_a_shuffle_of_all_choices(spark):
     grounds = [(r.X, r.Y, r.Z) for r in right.collect()]
     for r in near.collect():
         assert r.Z_near == min(((r.X - x) ** 2 + (r.Y - y) ** 2, z) for x, y, z in grounds)[1]
+
+
+def test_a_stream_lists_by_few_tasks(spark, tmp_path):
+    items = spark.range(100).selectExpr("'c' AS collection", "concat('i', id) AS id", "'{}' AS json")
+    render.write_documents(items, f"{tmp_path}/tree")
+    seen = live.stream_documents(spark, f"{tmp_path}/tree", glob="*.txt", ending=".txt")
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) == 4 * spark.sparkContext.defaultParallelism
+    live.upsert_index(seen, f"{tmp_path}/index", f"{tmp_path}/check").awaitTermination()
+    assert live.current_changes(spark, f"{tmp_path}/index").count() == 100
