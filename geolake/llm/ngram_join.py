@@ -5,8 +5,10 @@
 2. Texts with equal sets are one node. A set's front (by that order) is long enough that two sets that link share
    a shingle in their fronts. Shingles that stand in one front only can't join anything and go.
 3. A node's home is the first of its shared front shingles. A node visits the homes that its front leads to, each pair in
-   one direction, so texts that share much meet once and not once for each shingle.
-4. At each home a prefix tree holds the sets of the nodes at home, common shingles first. Every visitor walks it: overlaps
+   one direction, so texts that share much meet once and not once for each shingle. A shingle leads to no home whose nodes
+   hold it too late in their order to reach the overlap that a link needs.
+4. Fronts meet first: what two fronts hold up to the end of the shorter one bounds the overlap of the whole sets. Only nodes
+   whose front leaves a link possible send their whole sets. At each home a prefix tree holds the sets of the nodes at home, common shingles first. Every visitor walks it: overlaps
    are counted once for all sets below an edge, and a branch ends when the shingles left can't make the overlap that a link
    needs, or when all below it is already joined to the visitor.
 5. Large homes are dealt out in parts, their visitors in chunks. All visit the first part; a large group of near copies
@@ -31,6 +33,8 @@ SHINGLE, PERCENT = 3, 90
 CELLS, BLOCK, HOME = 1 << 22, 1 << 12, 256
 #: Visitors of one tree in one group.
 CHUNK = 1024
+#: Words that a task counts at once.
+SLICE = 1 << 18
 #: Shingles of an edge that are compared before the bounds are looked at again.
 STEP = 64
 
@@ -46,12 +50,12 @@ def word_levels(hashed: DataFrame, cells: int = CELLS) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, dtype=np.int64)
+        total = np.zeros(cells, dtype=np.uint32)
         for batch in batches:
             values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            for at in range(0, len(values), 1 << 20):
-                total += np.bincount(values[at : at + (1 << 20)] & (cells - 1), minlength=cells)
-        capped = np.minimum(total, 255).astype(np.uint8).reshape(-1, BLOCK)
+            for at in range(0, len(values), SLICE):
+                np.add.at(total, values[at : at + SLICE] & (cells - 1), np.uint32(1))
+        capped = np.minimum(total, 255, out=total).astype(np.uint8).reshape(-1, BLOCK)
         used = np.flatnonzero(capped.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, type=pa.int32()), pa.array([capped[k].tobytes() for k in used], type=pa.binary())], names=["block", "counts"])
 
@@ -115,6 +119,35 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)))
 
 
+def may_link(sizes: np.ndarray, fronts: list[np.ndarray], at_home: np.ndarray, known: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link with one at home, or are at home and may link with another, as far as fronts tell.
+
+    A front (rising) holds all shingles of its set up to its last one. Up to the lower of two last shingles both sets are
+    known; behind it they share at most what the smaller one has left. Sets of one ``known`` component need no link.
+    """
+    home, marked = np.flatnonzero(at_home), np.zeros(len(sizes), dtype=bool)
+    if not len(home):
+        return marked
+    held = np.concatenate([fronts[k] for k in home])
+    owner = np.repeat(np.arange(len(home)), [len(fronts[k]) for k in home])
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    last = np.array([fronts[k][-1] for k in home])
+    for k, own in enumerate(fronts):
+        low, high = np.searchsorted(held, own, "left"), np.searchsorted(held, own, "right")
+        met = np.flatnonzero(high > low)
+        if not len(met):
+            continue
+        common = np.bincount(np.concatenate([owner[a:b] for a, b in zip(low[met], high[met])]), minlength=len(home))
+        mine = np.searchsorted(own, np.minimum(last, own[-1]), "right")
+        theirs = np.bincount(owner[: high[-1]], minlength=len(home))
+        most = common + np.minimum(sizes[k] - mine, sizes[home] - theirs)
+        hit = (common > 0) & ((100 + percent) * most >= percent * (sizes[k] + sizes[home])) & (known[home] != known[k])
+        marked[k] |= hit.any()
+        marked[home[hit]] = True
+    return marked
+
+
 class Tree:
     """A prefix tree of ordered sets; an edge holds the run of shingles that all sets below it share."""
 
@@ -231,14 +264,16 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     classes = stored(classes, "classes")
 
     per_shingle = F.count("*").over(Window.partitionBy("shingle"))
-    shared = classes.select("node", "size", F.explode("front").alias("shingle")).withColumn("n", per_shingle).filter("n > 1").drop("n")
+    shared = classes.select("node", "size", F.posexplode("front").alias("before", "shingle")).withColumn("n", per_shingle).filter("n > 1").drop("n")
     shared = stored(shared, "shared")
     homes = stored(shared.groupBy("node").agg(F.min("shingle").alias("home")), "homes")
     placed = shared.join(homes, "node")
-    there = placed.groupBy("shingle", "home").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    there = there.select(F.col("shingle").alias("t_shingle"), F.col("home").alias("t_home"), "low", "high")
-    near = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("low") * percent)
-    visits = placed.join(there, (F.col("shingle") == F.col("t_shingle")) & (F.col("t_home") <= F.col("home")) & near)
+    # Of the first shingle that two sets share: neither set has more in common than it holds from there on.
+    room = F.col("size") * 100 - F.col("before") * (100 + percent)
+    there = placed.groupBy("shingle", "home").agg(F.min("size").alias("low"), F.max(room).alias("room"))
+    there = there.select(F.col("shingle").alias("t_shingle"), F.col("home").alias("t_home"), "low", "room")
+    near = (F.col("room") >= F.col("size") * percent) & (room >= F.col("low") * percent)
+    visits = placed.join(there, (F.col("shingle") == F.col("t_shingle")) & ((F.col("t_home") == F.col("home")) | (F.col("t_home") < F.col("home")) & near))
     visits = visits.groupBy("node", F.col("t_home").alias("place")).agg(F.first("home").alias("home"))
     visits = stored(visits.select("node", "place", (F.col("place") == F.col("home")).alias("at_home")), "visits")
 
@@ -255,11 +290,25 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
             found = list(_sets(batch, levels.value, n))
             yield pa.RecordBatch.from_arrays([batch.column(0), _longs(found)], names=["node", "shingles"])
 
-    asked = dealt.select("node").distinct().join(classes.select("node", "least_id"), "node")
-    # One document of a class gives its set; rows that share its doc_id fall out by the name of their own set.
-    sample = every.join(asked, "node").filter("doc_id <=> least_id").select("node", "least_id").distinct()
-    texts = docs.select("doc_id", "text").join(sample.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
-    sets = stored(_true_sets(word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")), "sets")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        asked = nodes.distinct().join(classes.select("node", "least_id"), "node")
+        # One document of a class gives its set; rows that share its doc_id fall out by the name of their own set.
+        sample = every.select("doc_id", "node").join(asked, "node").filter("doc_id <=> least_id").select("node", "least_id").distinct()
+        texts = docs.select("doc_id", "text").join(sample.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
+        return stored(_true_sets(word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")), "sets")
+
+    members = ["node", "place", "known", "part", "at_home", "chunk"]
+
+    def screen(table: pa.Table) -> pa.Table:
+        held = [f.values.to_numpy() for f in table.column("front")]
+        numbers = [table.column(c).to_numpy() for c in ("size", "known")]
+        marked = may_link(numbers[0], held, table.column("at_home").to_numpy(), numbers[1], percent)
+        return table.select(members).filter(pa.array(marked))
+
+    def possible(rows: DataFrame) -> DataFrame:
+        """The members of groups (place, part, chunk) that may link with another one."""
+        brought = rows.select(*members).join(classes.select("node", "size", "front"), "node")
+        return stored(brought.groupBy("place", "part", "chunk").applyInArrow(screen, rows.select(*members).schema), "possible")
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         nodes, known = table.column("node").to_numpy(), table.column("known").to_pylist()
@@ -267,13 +316,17 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
         pairs = [(a, b) for a, b in join_at_home(held, table.column("at_home").to_pylist(), percent, known) if known[a] != known[b]]
         return pa.table({"a": pa.array([int(nodes[a]) for a, _ in pairs], type=pa.int64()), "b": pa.array([int(nodes[b]) for _, b in pairs], type=pa.int64())})
 
-    def met(rows: DataFrame, name: str) -> DataFrame:
+    def met(rows: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         return stored(rows.join(sets, "node").groupBy("place", "part", "chunk").applyInArrow(meet, "a bigint, b bigint"), name)
 
-    rooted = stored(components(met(dealt.withColumn("known", F.col("node")), "links")), "rooted")
+    facing = possible(dealt.withColumn("known", F.col("node")))
+    sets = sets_of(facing.select("node"))
+    rooted = stored(components(met(facing, sets, "links")), "rooted")
     rest = _rest(around.filter("parts > 1"), rooted, home)
     if not rest.isEmpty():
-        later = met(rest, "later")
+        facing = possible(rest)
+        missing = facing.select("node").join(sets.select("node"), "node", "left_anti")
+        later = met(facing, sets.unionByName(sets_of(missing)), "later")
         rooted = stored(components(later.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))), "joined")
     ids = classes.select("node", "least_id")
     least = rooted.join(ids, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -92,6 +92,34 @@ def test_tree_walk_against_all_pairs():
     assert grouped(range(len(sets)), joined) == grouped(range(len(sets)), links)
 
 
+def test_fronts_lose_no_link_and_send_few_sets(spark, monkeypatch):
+    draw = random.Random(2)
+    sets = []
+    for _ in range(150):
+        base = set(draw.choice(sets).tolist()) if sets and draw.random() < 0.6 else set(draw.sample(range(3000), draw.randint(1, 120)))
+        base ^= set(draw.sample(range(3000), draw.choice([0, 0, 1, 3, 6])))
+        if base:
+            sets.append(np.array(sorted(base), dtype=np.int64))
+    fronts = [s[: len(s) - ngram_join.needed(len(s), 90) + 1] for s in sets]
+    at_home = np.array([draw.random() < 0.5 for _ in sets])
+    for known in (np.arange(len(sets)), np.arange(len(sets)) % 7):
+        marked = ngram_join.may_link(np.array([len(s) for s in sets]), fronts, at_home, known, 90)
+        linked = {k for a, b in itertools.permutations(range(len(sets)), 2) if at_home[b] and known[a] != known[b]
+                  and 100 * len(set(sets[a]) & set(sets[b])) >= 90 * len(set(sets[a]) | set(sets[b])) for k in (a, b)}
+        assert linked and linked <= set(np.flatnonzero(marked).tolist())
+        assert marked.sum() < len(sets)
+
+    # Forty texts share a rare passage and nothing else, two more are near copies of one: three sets meet.
+    reachable(spark)
+    rows = [(i, "seldom met passage " + " ".join(f"w{i}x{k}" for k in range(60))) for i in range(40)]
+    rows += [(40, rows[7][1] + " more"), (41, rows[7][1] + " else")]
+    sent, whole = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: sent.setdefault(name, whole(df, name)))
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i if i < 40 else 7 for i in range(42)}
+    assert sent["sets"].count() == 3
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
