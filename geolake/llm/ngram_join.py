@@ -7,8 +7,9 @@
 3. A node's home is the first of its shared front shingles. A node visits the homes that its front leads to, each pair in
    one direction, so texts that share much meet once and not once for each shingle. A shingle leads to no home whose nodes
    hold it too late in their order to reach the overlap that a link needs.
-4. Fronts meet first: what two fronts hold up to the end of the shorter one bounds the overlap of the whole sets. Only nodes
-   whose front leaves a link possible send their whole sets. At each home a prefix tree holds the sets of the nodes at home, common shingles first. Every visitor walks it: overlaps
+4. Parities meet first: a bit for each of about as many cells as a set has shingles, which tells if an odd number of them
+   falls into the cell. Two sets differ in at least as many shingles as their parities differ in bits, so only nodes whose
+   parities leave a link possible send their whole sets. At each home a prefix tree holds the sets of the nodes at home, common shingles first. Every visitor walks it: overlaps
    are counted once for all sets below an edge, and a branch ends when the shingles left can't make the overlap that a link
    needs, or when all below it is already joined to the visitor.
 5. Large homes are dealt out in parts, their visitors in chunks. All visit the first part; a large group of near copies
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import lower_ascii, stored, words
+from .shared import lower_ascii, slices, stored, words
 
 SHINGLE, PERCENT = 3, 90
 #: Counters of the word sketch (one byte each once combined), the blocks they travel in, nodes at home in one tree.
@@ -108,7 +109,7 @@ def needed(size: int, percent: int) -> int:
 
 def _sets(batch: pa.RecordBatch, levels: np.ndarray, n: int) -> Iterator[np.ndarray]:
     column = batch.column(batch.num_columns - 1)
-    offsets = column.offsets.to_numpy()
+    offsets = column.offsets.to_numpy()  # a slice keeps all values, its offsets tell which are its own
     values = column.values.to_numpy(zero_copy_only=False)
     for k in range(len(column)):
         yield shingle_set(values[offsets[k] : offsets[k + 1]], levels, n)
@@ -119,32 +120,41 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)))
 
 
-def may_link(sizes: np.ndarray, fronts: list[np.ndarray], at_home: np.ndarray, known: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets may link with one at home, or are at home and may link with another, as far as fronts tell.
+def parities(own: np.ndarray) -> bytes:
+    """For each cell, the least power of two of them that isn't below the set's size (64 at least), the parity of its shingles."""
+    width = max(64, 1 << (len(own) - 1).bit_length())
+    return np.packbits((np.bincount(own & (width - 1), minlength=width) & 1).astype(np.uint8)).tobytes()
 
-    A front (rising) holds all shingles of its set up to its last one. Up to the lower of two last shingles both sets are
-    known; behind it they share at most what the smaller one has left. Sets of one ``known`` component need no link.
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parities in fewer cells."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def may_link(sizes: np.ndarray, bits: list[bytes], at_home: np.ndarray, known: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link with one at home, or are at home and may link with another, as far as parities tell.
+
+    Sets of one ``known`` component need no link.
     """
-    home, marked = np.flatnonzero(at_home), np.zeros(len(sizes), dtype=bool)
-    if not len(home):
-        return marked
-    held = np.concatenate([fronts[k] for k in home])
-    owner = np.repeat(np.arange(len(home)), [len(fronts[k]) for k in home])
-    order = np.argsort(held, kind="stable")
-    held, owner = held[order], owner[order]
-    last = np.array([fronts[k][-1] for k in home])
-    for k, own in enumerate(fronts):
-        low, high = np.searchsorted(held, own, "left"), np.searchsorted(held, own, "right")
-        met = np.flatnonzero(high > low)
-        if not len(met):
-            continue
-        common = np.bincount(np.concatenate([owner[a:b] for a, b in zip(low[met], high[met])]), minlength=len(home))
-        mine = np.searchsorted(own, np.minimum(last, own[-1]), "right")
-        theirs = np.bincount(owner[: high[-1]], minlength=len(home))
-        most = common + np.minimum(sizes[k] - mine, sizes[home] - theirs)
-        hit = (common > 0) & ((100 + percent) * most >= percent * (sizes[k] + sizes[home])) & (known[home] != known[k])
-        marked[k] |= hit.any()
-        marked[home[hit]] = True
+    marked, own = np.zeros(len(sizes), dtype=bool), [np.frombuffer(b, dtype=np.uint64) for b in bits]
+    widths = np.array([len(b) for b in own])
+    homes = {int(w): np.flatnonzero(at_home & (widths == w)) for w in np.unique(widths[at_home])}
+    held = {(w, w): np.stack([own[k] for k in home]) for w, home in homes.items()}
+    for k, mine in enumerate(own):
+        for w, home in homes.items():
+            close = (100 * np.minimum(sizes[home], sizes[k]) >= percent * np.maximum(sizes[home], sizes[k])) & (known[home] != known[k])
+            if not close.any():
+                continue
+            width = min(w, len(mine))
+            if (w, width) not in held:
+                held[w, width] = folded(held[w, w], width)
+            differ = np.bitwise_count(held[w, width] ^ folded(mine, width)).sum(axis=1, dtype=np.int64)
+            hit = close & ((100 + percent) * differ <= (100 - percent) * (sizes[home] + sizes[k]))
+            marked[k] |= hit.any()
+            marked[home[hit]] = True
     return marked
 
 
@@ -249,18 +259,20 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     levels = spark.sparkContext.broadcast(word_levels(word_hashes(docs), cells))
 
     def fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, sizes, found = [], [], []
+        for batch in slices(batches):
+            nodes, sizes, found, bits = [], [], [], []
             for own in _sets(batch, levels.value, n):
                 nodes.append(set_name(own) if len(own) else None)
                 sizes.append(len(own))
                 found.append(own[: len(own) - needed(len(own), percent) + 1] if len(own) else own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), _longs(found)], names=["doc_id", "node", "size", "front"])
+                bits.append(parities(own) if len(own) else None)
+            columns = [batch.column(0), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), _longs(found), pa.array(bits, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "size", "front", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    every = stored(word_hashes(docs, "doc_id").mapInArrow(fronts, f"doc_id {kind}, node bigint, size bigint, front array<bigint>"), "fronts")
+    every = stored(word_hashes(docs, "doc_id").mapInArrow(fronts, f"doc_id {kind}, node bigint, size bigint, front array<bigint>, bits binary"), "fronts")
     named = every.filter("node is not null")
-    classes = named.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.count("*").alias("rows"), F.first("front").alias("front"))
+    classes = named.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.count("*").alias("rows"), F.first("front").alias("front"), F.first("bits").alias("bits"))
     classes = stored(classes, "classes")
 
     per_shingle = F.count("*").over(Window.partitionBy("shingle"))
@@ -286,7 +298,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     dealt = stored(_deal(opening), "dealt")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = list(_sets(batch, levels.value, n))
             yield pa.RecordBatch.from_arrays([batch.column(0), _longs(found)], names=["node", "shingles"])
 
@@ -300,14 +312,12 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     members = ["node", "place", "known", "part", "at_home", "chunk"]
 
     def screen(table: pa.Table) -> pa.Table:
-        held = [f.values.to_numpy() for f in table.column("front")]
-        numbers = [table.column(c).to_numpy() for c in ("size", "known")]
-        marked = may_link(numbers[0], held, table.column("at_home").to_numpy(), numbers[1], percent)
-        return table.select(members).filter(pa.array(marked))
+        size, at_home, known = (table.column(c).to_numpy() for c in ("size", "at_home", "known"))
+        return table.select(members).filter(pa.array(may_link(size, table.column("bits").to_pylist(), at_home, known, percent)))
 
     def possible(rows: DataFrame) -> DataFrame:
         """The members of groups (place, part, chunk) that may link with another one."""
-        brought = rows.select(*members).join(classes.select("node", "size", "front"), "node")
+        brought = rows.select(*members).join(classes.select("node", "size", "bits"), "node")
         return stored(brought.groupBy("place", "part", "chunk").applyInArrow(screen, rows.select(*members).schema), "possible")
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
@@ -320,13 +330,12 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
         return stored(rows.join(sets, "node").groupBy("place", "part", "chunk").applyInArrow(meet, "a bigint, b bigint"), name)
 
     facing = possible(dealt.withColumn("known", F.col("node")))
-    sets = sets_of(facing.select("node"))
+    # Texts are read for both rounds at once: what other parts of a home may need is known by now.
+    sets = sets_of(facing.select("node").unionByName(around.filter("parts > 1").select("node")))
     rooted = stored(components(met(facing, sets, "links")), "rooted")
     rest = _rest(around.filter("parts > 1"), rooted, home)
     if not rest.isEmpty():
-        facing = possible(rest)
-        missing = facing.select("node").join(sets.select("node"), "node", "left_anti")
-        later = met(facing, sets.unionByName(sets_of(missing)), "later")
+        later = met(possible(rest), sets, "later")
         rooted = stored(components(later.unionByName(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")))), "joined")
     ids = classes.select("node", "least_id")
     least = rooted.join(ids, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))

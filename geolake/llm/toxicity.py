@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .learning import labelled, with_texts
-from .shared import stored
+from .shared import slices, stored
 
 #: Labelled rows that the weights are learned from, terms of the lexicon, texts that a term must be in.
 SAMPLE, TERMS, SUPPORT = 20_000, 20_000, 3
@@ -92,7 +92,7 @@ class Channel:
     """Restores disguised words; remembers, within bounds, what it has restored."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model.tolist()
+        self.model = memoryview(model)  # a list would hold an object for each of a million numbers
         self.known: dict[str, str] = {}
 
     def lattice(self, text: str) -> list[list[tuple[str, float]]]:
@@ -255,34 +255,36 @@ def _fit(label: np.ndarray, told: list[np.ndarray]) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
-def _telling(rows: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """Adds the most telling weights to rows of ``columns`` and text."""
+def _telling(rows: DataFrame, model: Model, columns: list[str], back: bool = False) -> DataFrame:
+    """Adds the most telling weights to rows of ``columns`` and text, whose bytes come ``back`` if asked for."""
     spark = rows.sparkSession
     shipped = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel, weights = Channel(shipped.value.language), Weights(shipped.value.weights)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in slices(batches):
+            texts = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
             pairs = [telling(channel.words(t), weights) for t in texts]
             found = [pa.array([p[k] for p in pairs], type=pa.float64()) for k in range(len(TOLD))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=[*batch.schema.names[:-1], *TOLD])
+            upto = batch.num_columns if back else -1
+            yield pa.RecordBatch.from_arrays([*batch.columns[:upto], *found], names=[*batch.schema.names[:upto], *TOLD])
 
     kept = rows.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("binary").alias("_bytes"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (kept.schema if back else kept.schema[:-1]))
     return kept.mapInArrow(run, f"{schema}, " + ", ".join(f"{t} double" for t in TOLD))
 
 
 def with_scores(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
     """Adds ``name``, 0 to 1. Whole texts count; a null text is empty. Other columns stay, but for one of that name."""
     columns = [c for c in docs.columns if c.lower() != name.lower()]
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)], F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    told = _telling(plain, model, [f"_{k}" for k in range(len(columns))])
+    # The text goes to Python and back once, as bytes.
+    others = {c: f"_{k}" for k, c in enumerate(columns) if c.lower() != "text"}
+    told = _telling(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in others.items()], F.col("text")), model, list(others.values()), back=True)
     line = F.lit(model.line[0])
     for slope, column in zip(model.line[1:], TOLD):
         line = line + F.lit(slope) * F.col(column)
     score = 1 / (1 + F.exp(-line))
-    return told.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)], score.alias(name))
+    return told.select(*[(F.col(others[c]) if c in others else F.col("_bytes").cast("string")).alias(c) for c in columns], score.alias(name))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

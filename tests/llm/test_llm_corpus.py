@@ -92,7 +92,7 @@ def test_tree_walk_against_all_pairs():
     assert grouped(range(len(sets)), joined) == grouped(range(len(sets)), links)
 
 
-def test_fronts_lose_no_link_and_send_few_sets(spark, monkeypatch):
+def test_parities_lose_no_link_and_send_few_sets(spark, monkeypatch):
     draw = random.Random(2)
     sets = []
     for _ in range(150):
@@ -100,10 +100,10 @@ def test_fronts_lose_no_link_and_send_few_sets(spark, monkeypatch):
         base ^= set(draw.sample(range(3000), draw.choice([0, 0, 1, 3, 6])))
         if base:
             sets.append(np.array(sorted(base), dtype=np.int64))
-    fronts = [s[: len(s) - ngram_join.needed(len(s), 90) + 1] for s in sets]
+    bits = [ngram_join.parities(s) for s in sets]
     at_home = np.array([draw.random() < 0.5 for _ in sets])
     for known in (np.arange(len(sets)), np.arange(len(sets)) % 7):
-        marked = ngram_join.may_link(np.array([len(s) for s in sets]), fronts, at_home, known, 90)
+        marked = ngram_join.may_link(np.array([len(s) for s in sets]), bits, at_home, known, 90)
         linked = {k for a, b in itertools.permutations(range(len(sets)), 2) if at_home[b] and known[a] != known[b]
                   and 100 * len(set(sets[a]) & set(sets[b])) >= 90 * len(set(sets[a]) | set(sets[b])) for k in (a, b)}
         assert linked and linked <= set(np.flatnonzero(marked).tolist())
