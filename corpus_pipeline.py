@@ -7,18 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolake.llm import bpe, mixing, ngram_join, secrets, toxicity
-from geolake.llm.shared import reachable, read, shared_dir
+from geolake.llm.shared import reachable, read, shared_dir, small_batches, stored
+
+
+def prepared(spark: SparkSession) -> None:
+    """Python workers find the package, and get rows in small batches: they live through all stages beside one heap."""
+    reachable(spark)
+    small_batches(spark)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose restored text scores below the threshold; labels of held-out rows are not read."""
-    reachable(spark)
+    prepared(spark)
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group that the n-gram join links."""
-    reachable(spark)
+    prepared(spark)
     groups = ngram_join.jaccard_groups(docs)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     if docs.schema["doc_id"].nullable:
@@ -28,7 +34,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with their secrets masked."""
-    reachable(spark)
+    prepared(spark)
     return secrets.redact(docs)
 
 
@@ -39,8 +45,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document, with digests of the ids and of the bytes they decode to."""
-    reachable(spark)
-    return bpe.digests(bpe.decode(bpe.encode(docs)))
+    prepared(spark)
+    # In one stage each task would hold two Python workers, one that encodes and one that decodes.
+    return bpe.digests(bpe.decode(stored(bpe.encode(docs), "ids")))
 
 
 STAGES = [("toxicity", toxic), ("ngram_join", near_copies), ("secrets", masked), ("mixing", mixed), ("byte_bpe", encoded)]

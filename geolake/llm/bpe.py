@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 #: Units that a task remembers before it starts over, and the longest one it remembers.
 REMEMBERED, LONGEST = 600_000, 100
 #: White space beyond ASCII, and the separators that some engines count as such.
@@ -119,15 +121,9 @@ class UnitIds(dict):
         return b"".join(map(self.__getitem__, units))
 
 
-_loaded: dict[str, UnitIds] = {}
-
-
 def unit_ids(description: str) -> UnitIds:
     """One for each worker process, which serves many tasks."""
-    if description not in _loaded:
-        _loaded.clear()
-        _loaded[description] = UnitIds(description)
-    return _loaded[description]
+    return kept(("units", description), lambda: UnitIds(description))
 
 
 def character_offsets(ids: np.ndarray, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,8 +200,8 @@ def decode(encoded: DataFrame, ranks_path: str | None = None, rows: int = 256) -
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
     columns = [c for c in encoded.columns if c.lower() != "decoded"]
-    kept = encoded.select(*[F.col(f"`{c}`") for c in columns])
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", decoded binary")
+    rest = encoded.select(*[F.col(f"`{c}`") for c in columns])
+    return rest.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema) + ", decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import lower_ascii, slices, stored, words
+from .shared import forget, lower_ascii, slices, stored, words
 
 SHINGLE, PERCENT = 3, 90
 #: Counters of the word sketch (one byte each once combined), the blocks they travel in, nodes at home in one tree.
@@ -51,6 +51,7 @@ def word_levels(hashed: DataFrame, cells: int = CELLS) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         total = np.zeros(cells, dtype=np.uint32)
         for batch in batches:
             values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
@@ -259,6 +260,7 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
     levels = spark.sparkContext.broadcast(word_levels(word_hashes(docs), cells))
 
     def fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             nodes, sizes, found, bits = [], [], [], []
             for own in _sets(batch, levels.value, n):
@@ -299,15 +301,16 @@ def jaccard_groups(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, ce
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = list(_sets(batch, levels.value, n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _longs(found)], names=["node", "shingles"])
+            # A doc_id that several rows share brings more than one text for a node; the text whose set it names stays.
+            found = [(node, own) for node, own in zip(batch.column(0).to_pylist(), _sets(batch, levels.value, n)) if set_name(own) == node]
+            yield pa.RecordBatch.from_arrays([pa.array([node for node, _ in found], type=pa.int64()), _longs([own for _, own in found])], names=["node", "shingles"])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         asked = nodes.distinct().join(classes.select("node", "least_id"), "node")
         # One document of a class gives its set; rows that share its doc_id fall out by the name of their own set.
         sample = every.select("doc_id", "node").join(asked, "node").filter("doc_id <=> least_id").select("node", "least_id").distinct()
         texts = docs.select("doc_id", "text").join(sample.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
-        return stored(_true_sets(word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>")), "sets")
+        return stored(word_hashes(texts, "node").mapInArrow(whole, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "sets")
 
     members = ["node", "place", "known", "part", "at_home", "chunk"]
 
@@ -386,14 +389,3 @@ def _rest(around: DataFrame, rooted: DataFrame, home: int) -> DataFrame:
     second = _deal(tied.select(*columns, (~F.col("inside")).alias("asks")))
     # The two kinds of groups have numbers of their own.
     return stored(first.unionByName(second.withColumn("part", -1 - F.col("part"))), "rest")
-
-
-def _true_sets(sets: DataFrame) -> DataFrame:
-    """A doc_id that several rows share brings more than one text for a node; the text whose set it names stays."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [set_name(s.values.to_numpy()) == node for node, s in zip(batch.column(0).to_pylist(), batch.column(1))]
-            yield batch.filter(pa.array(keep, type=pa.bool_()))
-
-    return sets.mapInArrow(check, "node bigint, shingles array<bigint>").dropDuplicates(["node"])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automata import Automaton
+from .shared import forget
 
 
 class Rule(NamedTuple):
@@ -133,6 +134,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "sp
     own = scanner(rules)  # built once, sent along with the task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for part in portions(texts):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Rows in an Arrow batch of a job that asks for small ones.
+BATCH = 1024
 
 
 def reachable(spark: SparkSession) -> None:
@@ -24,6 +27,35 @@ def reachable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH) -> None:
+    """Lets at most so many rows go to Python at once, in this session from now on; a smaller setting stays.
+
+    An executor holds each batch several times over beside its heap, and its worker again.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
+_kept: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by a worker process for its next tasks. It keeps one thing at a time."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Drops what this worker process has kept: a process serves stage after stage, and what they leave must not add up."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None:
+        trim(0)  # else the C library holds on to most of what is freed
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .learning import labelled, with_texts
-from .shared import slices, stored
+from .shared import forget, slices, stored
 
 #: Labelled rows that the weights are learned from, terms of the lexicon, texts that a term must be in.
 SAMPLE, TERMS, SUPPORT = 20_000, 20_000, 3
@@ -63,6 +63,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         total = np.zeros(SIGNS**4, dtype=np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -210,6 +211,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def count(wanted: set[str] | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             channel, seen = Channel(language.value), Counter()
             for batch in batches:
                 for text in batch.column(0).to_pylist():
@@ -261,6 +263,7 @@ def _telling(rows: DataFrame, model: Model, columns: list[str], back: bool = Fal
     shipped = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         channel, weights = Channel(shipped.value.language), Weights(shipped.value.weights)
         for batch in slices(batches):
             texts = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]

@@ -1,5 +1,6 @@
 """Operators that compare documents or learn from them, and the pipeline."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geolake.llm import embeddings, learning, ngram_join, quality, toxicity
+from geolake.llm import embeddings, learning, ngram_join, quality, shared, toxicity
 from geolake.llm.components import components
 from geolake.llm.shared import reachable, read
 
@@ -232,3 +233,42 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     for out in seen.values():
         out.unpersist()
 
+
+
+def test_a_task_of_the_pipeline_holds_one_worker(spark, monkeypatch):
+    import corpus_pipeline
+
+    written = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module in (corpus_pipeline, ngram_join):
+        monkeypatch.setattr(module, "stored", lambda df, name, keep=module.stored: written.append((name, plan(df))) or keep(df, name))
+    texts = [" ".join(f"w{k}" for k in range(40)), " ".join(f"w{k}" for k in range(39)) + " x", "", None, "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = {r.doc_id: r.component_id for r in ngram_join.jaccard_groups(docs).collect()}
+    assert groups == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+    coded = corpus_pipeline.encoded(spark, docs, SF)
+    written.append(("digests", plan(coded)))
+    assert {"sets", "ids"} <= {name for name, _ in written}
+    assert all("MapInArrow" in p for name, p in written if name in ("sets", "ids", "digests"))
+    # A shuffle ends a stage; what stands between two of them runs in one task.
+    assert [name for name, p in written if max(part.count("MapInArrow") for part in re.split("Exchange", p)) > 1] == []
+    assert {r.doc_id: r.decoded_sha256 for r in coded.collect()} == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_batches_are_small_and_workers_keep_one_thing(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, held in (("10000", shared.BATCH), ("0", shared.BATCH), ("7", 7)):
+            spark.conf.set(name, given)
+            shared.small_batches(spark)
+            assert int(spark.conf.get(name)) == held
+    finally:
+        spark.conf.set(name, before)
+    first = shared.kept("first", lambda: [1])
+    assert shared.kept("first", lambda: [2]) is first
+    shared.kept("second", lambda: [3])
+    assert shared.kept("first", lambda: [4]) == [4]
+    shared.forget()
+    assert shared.kept("first", lambda: [5]) == [5]
+    shared.forget()
