@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reachable as reachable
+
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -19,14 +21,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH = 1024
 
 
-def reachable(spark: SparkSession) -> None:
-    """Lets Python workers on machines that see this folder import the package; elsewhere it is installed or sent along."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
-
-
 def small_batches(spark: SparkSession, rows: int = BATCH) -> None:
     """Lets at most so many rows go to Python at once, in this session from now on; a smaller setting stays.
 

@@ -135,15 +135,23 @@ def nearest_join(
     )
 
 
-def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0) -> DataFrame:
+def points_in_areas(points: DataFrame, areas: DataFrame, base: float = 4.0, highest: str | None = None) -> DataFrame:
     """Points with every area (area_id, minx, miny, maxx, maxy) that holds them, closed.
 
+    With ``highest``, a column of doubles of the points, the pairs come counted instead of listed: area_id, points, ``highest``
+    stand for that many pairs of an area and the highest value among them. An area has several such rows, to be added up. Pairs
+    grow with the product of both sides; these rows don't (``area_totals``).
+
     An area is filed at the grid level whose cells are about a quarter of its size, so it
     covers at most 5 x 5 cells however large it is, and those cells hold little but the
     area. A point asks for its cell at each level in use. Both sides meet by equality and
     an exact test follows. Both are sorted by cell: the planner takes the filed areas for no
     larger than their table, and would gather up to 25 rows of each in the driver to broadcast them.
     """
+    if highest is not None:
+        from .area_totals import totals  # works on Arrow batches, which listing does without
+
+        return totals(points, areas, highest)
     size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
     rank = F.ceil(F.log2(F.greatest(size / (4 * base), F.lit(1.0)))).cast("int")
     side = F.lit(base) * F.pow(F.lit(2.0), F.col("_l"))

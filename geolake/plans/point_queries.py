@@ -102,8 +102,8 @@ def points_in_areas(spark, sf_dir):
         F.col("p_partkey").alias("area_id"), x.alias("minx"), y.alias("miny"),
         (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size") / 2).alias("maxy"),
     )
-    inside = spatial_join.points_in_areas(points(spark, sf_dir), areas)
-    return inside.groupBy("area_id").agg(F.count("*").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
+    inside = spatial_join.points_in_areas(points(spark, sf_dir), areas, highest="Z")
+    return inside.groupBy("area_id").agg(F.sum("points").alias("points"), F.round(F.max("Z"), 6).alias("max_z"))
 
 
 @query("query_points", f"""WITH {POINTS}, files AS (

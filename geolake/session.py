@@ -1,7 +1,8 @@
-"""Session helpers: shared scratch space and lineage cuts."""
+"""Session helpers: shared scratch space, lineage cuts and what Python workers import."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -43,3 +44,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers on machines that see this folder import the package; elsewhere it is installed or sent along."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
